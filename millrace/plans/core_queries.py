@@ -1,0 +1,20 @@
+"""Queries of the core problems (1, 5, 6, 7) over the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.operators.neardup import group_pairs, near_duplicates
+from millrace.session import table
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of source records in one near-duplicate group."""
+    docs = table(spark, sf_dir, "source_documents").select("pos", "content", "doc_id")
+    _, members = near_duplicates(docs, "content", "pos", words=3, threshold=0.5)
+    return group_pairs(members, docs, "pos", "doc_id").select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+QUERIES = {"p1_found": p1_found}
+SQL: dict[str, str] = {}
