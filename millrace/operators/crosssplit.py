@@ -1,0 +1,148 @@
+"""Same or near-same question-answer records across splits: an edit-distance segment join.
+
+Questions are compared as read, without lead-ins and with interchangeable question words brought to
+one; answers must be equal as read. An evaluation question is cut into segments of Q characters.
+At most K edits destroy at most K of any K+1 segments, so its K+1 segments that occur least often in
+training questions (with the same answer) are enough: each is matched against the training substrings
+at positions shifted by at most K, and candidates are verified by banded dynamic programming.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from millrace.functions.fold import as_read, words
+from millrace.session import cut
+
+Q, K = 5, 3
+# Phrases before a question that don't change what is asked.
+LEAD_INS = ("please tell me", "could you tell me", "can you tell me", "tell me", "please", "question", "quick one", "quick question", "câu hỏi", "cho biết", "xin cho biết", "hãy cho biết", "xin hỏi", "cho hỏi", "xin vui lòng")
+# Question words and particles that stand for one another.
+SAME = {"what": "which", "gì": "nào", "mấy": "bao nhiêu", "đã": "", "vậy": "", "thế": "", "ạ": "", "please": ""}
+_LEAD = re.compile(r"^(?:(?:" + "|".join(sorted(LEAD_INS, key=len, reverse=True)) + r")\s+)+(?=\S)")
+
+
+def asked(question: str | None) -> str:
+    """A question as compared."""
+    text = _LEAD.sub("", " ".join(words(question)))
+    return " ".join(x for w in text.split(" ") if (x := SAME.get(w, w)))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        q = [asked(x) for x in batch.column(2).to_pylist()]
+        a = [as_read(x) for x in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(q, pa.string()), pa.array(a, pa.string())], names=["item", "train", "q", "a"])
+
+
+def banded(a: str, b: str, k: int) -> int:
+    """Edit distance of a and b, or k + 1 if it's more than k."""
+    n, m = len(a), len(b)
+    if abs(n - m) > k:
+        return k + 1
+    big = k + 1
+    row = [j if j <= k else big for j in range(m + 1)]
+    for i in range(1, n + 1):
+        low, high = max(1, i - k), min(m, i + k)
+        diagonal = row[low - 1]
+        row[low - 1] = i if low == 1 and i <= k else big
+        if low > 1:
+            row[low - 1] = big
+        best, x = big, a[i - 1]
+        for j in range(low, high + 1):
+            up = row[j] if j < i + k else big
+            v = min(diagonal + (x != b[j - 1]), up + 1, row[j - 1] + 1)
+            diagonal = row[j]
+            row[j] = v if v < big else big
+            best = min(best, v)
+        if best > k:
+            return big
+    return min(row[m], big)
+
+
+def word_changes(a: str, b: str, most: int = 2) -> list[tuple[str, str]] | None:
+    """The words that differ, in pairs, if each can be a slip of the other; else None.
+
+    A blank lost or gained inside a word is a slip too. Words with digits must be equal.
+    """
+    x, y = a.split(" "), b.split(" ")
+    while x and y and x[0] == y[0]:
+        x, y = x[1:], y[1:]
+    while x and y and x[-1] == y[-1]:
+        x, y = x[:-1], y[:-1]
+    if len(x) != len(y):
+        p, q = "".join(x), "".join(y)
+        return [] if p == q or (x and y and banded(p, q, most) <= most and len(x) + len(y) <= 5 and not re.search(r"\d", p + q)) else None
+    changes = [(p, q) for p, q in zip(x, y) if p != q]
+    for p, q in changes:
+        if any(c.isdigit() for c in p + q) or banded(p, q, most) > most or min(len(p), len(q)) < 2:
+            return None
+    return changes
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for e, t, x, y, k in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            d = banded(x, y, k)
+            if d <= k and (c := word_changes(x, y)) is not None:
+                out.append((e, t, d, [{"x": p, "y": q} for p, q in c]))
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())])))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["e", "t", "edits", "changes"])
+
+
+def cross_split(records: DataFrame, item: str, question: str, answer: str, split: str, train: str = "train", established: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(links, members) between evaluation and training records.
+
+    members(item, train, text): records by distinct question and answer; links(e, t, edits): texts e of
+    evaluation and t of training that ask the same; copies aren't expanded into pairs. Records without
+    a question as read, and those with null item or split, are left out. A null, blank or equal answer
+    as read is the same answer. A question of n segments allows min(K, n - 1) edits, and equality
+    always counts. Two different words that both occur in at least `established` distinct questions
+    aren't slips of each other. Repeated rows count once; empty tables give empty results.
+    """
+    rows = records.select(F.col(item).cast("long").alias("item"), (F.col(split) == train).alias("train"), F.col(question).cast("string").alias("q"), F.col(answer).cast("string").alias("a")).where("item is not null and train is not null")
+    read = rows.mapInArrow(_read, "item long, train boolean, q string, a string").where("q <> ''")
+    read = cut(read.select("item", "train", "q", F.xxhash64("a").alias("akey"), F.xxhash64("q", "a").alias("text")).distinct())
+    texts = read.groupBy("text", "train").agg(F.first("q").alias("q"), F.first("akey").alias("akey"))
+    evals, trains = texts.where("not train").drop("train"), texts.where("train").drop("train")
+    cuts = evals.withColumn("n", F.floor(F.length("q") / Q).cast("int")).where("n > 1")
+    cuts = cuts.select("text", "akey", "n", F.length("q").alias("len"), F.explode(F.expr(f"transform(sequence(0, n - 1), i -> struct(i * {Q} as pos, substring(q, i * {Q} + 1, {Q}) as part))")).alias("s")).select("text", "n", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
+    grams = trains.where(f"length(q) >= {Q}").select("text", F.length("q").alias("len"), "akey", F.explode(F.expr(f"transform(sequence(0, length(q) - {Q}), i -> struct(i as pos, substring(q, i + 1, {Q}) as part))")).alias("s")).select("text", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
+    wanted = cuts.select("key").distinct()
+    grams = cut(grams.join(wanted, "key", "left_semi"))
+    often = grams.groupBy("key").agg(F.count("*").alias("often"))
+    rank = Window.partitionBy("text").orderBy(F.coalesce("often", F.lit(0)), "pos")
+    chosen = cuts.join(often, "key", "left").withColumn("r", F.row_number().over(rank)).where(f"r <= {K + 1} and often is not null")
+    near = chosen.select(F.col("text").alias("e"), F.least(F.lit(K), F.col("n") - 1).alias("k"), F.col("len").alias("elen"), F.col("pos").alias("epos"), "key").join(grams.select(F.col("text").alias("t"), F.col("len").alias("tlen"), F.col("pos").alias("tpos"), "key"), "key").where("abs(epos - tpos) <= k and abs(elen - tlen) <= k and e <> t").select("e", "t", "k").distinct()
+    found = near.join(evals.select(F.col("text").alias("e"), F.col("q").alias("x")), "e").join(trains.select(F.col("text").alias("t"), F.col("q").alias("y")), "t").select("e", "t", "x", "y", "k")
+    found = cut(found.mapInArrow(_verify, "e long, t long, edits int, changes array<struct<x string, y string>>"))
+    known = texts.select("text", F.explode(F.array_distinct(F.split("q", " "))).alias("word")).groupBy("word").agg(F.approx_count_distinct("text").alias("n")).where(f"n >= {established}").select("word")
+    change = found.select("e", "t", F.explode("changes").alias("c")).select("e", "t", "c.x", "c.y")
+    false = change.join(known.select(F.col("word").alias("x")), "x", "left_semi").join(known.select(F.col("word").alias("y")), "y", "left_semi").select("e", "t").distinct()
+    same = evals.select("text").join(trains.select("text"), "text").select(F.col("text").alias("e"), F.col("text").alias("t"), F.lit(0).alias("edits"))
+    links = same.union(found.join(false, ["e", "t"], "left_anti").select("e", "t", "edits"))
+    return cut(links), read.select("item", "train", "text").distinct()
+
+
+def overlap_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
+    """(train_item, eval_item) for every link between records."""
+    t = members.where("train").select(F.col("item").alias("train_item"), F.col("text").alias("t"))
+    e = members.where("not train").select(F.col("item").alias("eval_item"), F.col("text").alias("e"))
+    return links.join(e, "e").join(t, "t").where("train_item <> eval_item").select("train_item", "eval_item").distinct()
+
+
+def overlap_report(links: DataFrame, members: DataFrame, records: DataFrame, item: str, split: str, source: str) -> DataFrame:
+    """(split, source, items, exact, near): evaluation records with a copy in training, per split and source.
+
+    Sources are trimmed and in lower case, blank or null ones together as null.
+    """
+    kind = links.groupBy("e").agg(F.min("edits").alias("edits"))
+    hit = members.where("not train").join(kind, members["text"] == kind["e"]).groupBy("item").agg(F.min("edits").alias("edits"))
+    named = records.select(F.col(item).alias("item"), F.col(split).alias("split"), F.nullif(F.lower(F.trim(F.col(source))), F.lit("")).alias("source")).distinct()
+    return named.join(hit, "item").groupBy("split", "source").agg(F.countDistinct("item").alias("items"), F.countDistinct(F.when(F.col("edits") == 0, F.col("item"))).alias("exact"), F.countDistinct(F.when(F.col("edits") > 0, F.col("item"))).alias("near"))
