@@ -23,13 +23,17 @@ Q, K = 5, 3
 # Phrases before a question that don't change what is asked.
 LEAD_INS = ("please tell me", "could you tell me", "can you tell me", "tell me", "please", "question", "quick one", "quick question", "câu hỏi", "cho biết", "xin cho biết", "hãy cho biết", "xin hỏi", "cho hỏi", "xin vui lòng")
 # Question words and particles that stand for one another.
-SAME = {"what": "which", "gì": "nào", "mấy": "bao nhiêu", "đã": "", "vậy": "", "thế": "", "ạ": "", "please": ""}
+SAME = {"what": "which", "gì": "nào", "mấy": "bao nhiêu", "đã": "", "vậy": "", "thế": "", "ạ": "", "please": "", "hãy": "", "tới": "đến", "bằng": "trong"}
+# The same for phrases.
+PHRASES = (("most closely", "closest"), ("recorded first", "first recorded"))
 _LEAD = re.compile(r"^(?:(?:" + "|".join(sorted(LEAD_INS, key=len, reverse=True)) + r")\s+)+(?=\S)")
 
 
 def asked(question: str | None) -> str:
     """A question as compared."""
     text = _LEAD.sub("", " ".join(words(question)))
+    for old, new in PHRASES:
+        text = text.replace(old, new)
     return " ".join(x for w in text.split(" ") if (x := SAME.get(w, w)))
 
 
