@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.garbled import damaged_tokens, restored_pages
 from millrace.llm.leak import leaked_passages
 from millrace.llm.mix import mix
 from millrace.llm.pairs import defective_pairs
@@ -61,7 +62,19 @@ def p9_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select(F.col("id").cast("long").alias("doc_id"), "source", "copies")
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a passage read with the wrong encoding."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return damaged_tokens(docs, "doc_id", "text").select(F.col("page").alias("doc_id")).distinct()
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those pages with their text restored as far as possible."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return restored_pages(docs, "doc_id", "text").select(F.col("page").alias("doc_id"), "restored", "unrestored")
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored}
 SQL: dict[str, str] = {
     "p4_profiles": r"""
 WITH doc AS (SELECT DISTINCT doc_id, content FROM source_documents WHERE content IS NOT NULL),
