@@ -10,9 +10,26 @@ from millrace.llm.leak import leaked_passages
 from millrace.llm.mix import mix
 from millrace.llm.pairs import defective_pairs
 from millrace.llm.quality import quality_profiles
+from millrace.llm.visual import look_alikes, visual_forms
 from millrace.session import table
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "source_documents").select(F.lit("document").alias("record_kind"), F.col("doc_id").alias("key"), F.col("content").alias("text"))
+    names = table(spark, sf_dir, "entities").select(F.lit("entity").alias("record_kind"), F.col("node_id").alias("key"), F.col("name").alias("text"))
+    return docs.union(names)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of keys whose texts look the same but are stored with other characters."""
+    return look_alikes(_texts(spark, sf_dir), "record_kind", "key", "text").select(F.col("kind").alias("record_kind"), "key_a", "key_b")
+
+
+def p2_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in its consistent form, where that differs from the stored one."""
+    return visual_forms(_texts(spark, sf_dir), "text").where("form <> text").select("record_kind", "key", "form").distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective question-answer pairs with their defect."""
     items = table(spark, sf_dir, "qa_items").select("item_id", "question", "answer")
@@ -74,7 +91,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_pages(docs, "doc_id", "text").select(F.col("page").alias("doc_id"), "restored", "unrestored")
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored}
+QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored}
 SQL: dict[str, str] = {
     "p4_profiles": r"""
 WITH doc AS (SELECT DISTINCT doc_id, content FROM source_documents WHERE content IS NOT NULL),
