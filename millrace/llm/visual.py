@@ -10,10 +10,13 @@ so their size is fixed, and only distinct clusters, not texts, go through them.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.fold import LOOKALIKES
 from millrace.session import cut
@@ -31,6 +34,33 @@ _LIKE = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<font>", "<small>")
 _CUT = "\uffff"
 
 
+def _class(java: str) -> str:
+    """A character class in Python's notation; marks as the rule finds them."""
+    marks = "".join(f"{chr(a)}-{chr(b)}" for a, b in _MARK_RANGES)
+    return re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m.group(1), 16))), java).replace(r"\p{M}", marks)
+
+
+def _mark_ranges() -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for n in range(0x20000):
+        if unicodedata.category(chr(n))[0] == "M":
+            if out and out[-1][1] == n - 1:
+                out[-1][1] = n
+            else:
+                out.append([n, n])
+    return [(a, b) for a, b in out]
+
+
+_MARK_RANGES = _mark_ranges()
+
+
+@F.pandas_udf(T.BooleanType())
+def needs_form(s: pd.Series) -> pd.Series:
+    """Whether a text holds anything but stable characters; a regular expression in C over whole batches."""
+    odd = re.compile(f"[^{_class(STABLE)}]")
+    return s.map(lambda x: x is not None and odd.search(x) is not None).astype(bool)
+
+
 def _parts(c: str) -> str:
     """A code point, decomposed and with look-alikes replaced."""
     n = ord(c)
@@ -96,16 +126,14 @@ def visual_forms(texts: DataFrame, text: str) -> DataFrame:
     columns are kept as they are; a column named form is replaced.
     """
     spark = texts.sparkSession
-    look = f"[^{STABLE}]|[{STABLE}][{MARKS}]"
-    dirty = texts.select(F.col(text).alias("_text")).where(F.col("_text").rlike(look)).distinct()
-    dirty = dirty.withColumn("_id", F.sha2("_text", 256))
-    pieces = cut(dirty.select("_id", F.posexplode(F.split(F.regexp_replace(F.regexp_replace("_text", r"\r\n?", "\n"), f"({CLUSTER})", f"{_CUT}$1{_CUT}"), _CUT)).alias("pos", "piece")).where("piece <> ''"))
+    dirty = texts.select(F.col(text).alias("_text")).where(needs_form("_text")).select(F.xxhash64("_text").alias("_id"), F.hash("_text").alias("_jd"), "_text").dropDuplicates(["_id", "_jd"])
+    pieces = cut(dirty.select("_id", "_jd", F.posexplode(F.split(F.regexp_replace(F.regexp_replace("_text", r"\r\n?", "\n"), f"({CLUSTER})", f"{_CUT}$1{_CUT}"), _CUT)).alias("pos", "piece")).where("piece <> ''"))
     odd = pieces.select(F.col("piece").alias("cluster")).where(F.col("cluster").rlike(f"^(?:{CLUSTER})$")).distinct()
     forms = cut(cluster_forms(spark, odd))
-    built = pieces.join(forms, F.col("piece") == F.col("cluster"), "left").groupBy("_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("form", "piece").alias("p")))), lambda x: x["p"]), "").alias("_built"))
-    keyed = texts.withColumn("_id", F.when(F.col(text).rlike(look), F.sha2(text, 256)))
+    built = pieces.join(forms, F.col("piece") == F.col("cluster"), "left").groupBy("_id", "_jd").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("form", "piece").alias("p")))), lambda x: x["p"]), "").alias("_built"))
+    keyed = texts.withColumn("_id", F.xxhash64(text)).withColumn("_jd", F.hash(text))
     clean = F.regexp_replace(F.coalesce("_built", F.col(text)), r"[ ]+(?=\n|\z)", "")
-    return keyed.join(built, "_id", "left").withColumn("form", clean).drop("_id", "_built")
+    return keyed.join(built, ["_id", "_jd"], "left").withColumn("form", clean).drop("_id", "_jd", "_built")
 
 
 def look_alikes(texts: DataFrame, kind: str, key: str, text: str) -> DataFrame:
@@ -115,7 +143,7 @@ def look_alikes(texts: DataFrame, kind: str, key: str, text: str) -> DataFrame:
     repeat count once; copies stored alike aren't pairs of each other.
     """
     slim = texts.select(F.col(kind).cast("string").alias("kind"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
-    stored = visual_forms(slim, "text").where(F.col("form").rlike(r"\S")).select("kind", "key", F.sha2("text", 256).alias("stored"), F.sha2("form", 256).alias("form")).distinct()
+    stored = visual_forms(slim, "text").where(F.col("form").rlike(r"\S")).select("kind", "key", F.unhex(F.md5("text")).alias("stored"), F.unhex(F.md5("form")).alias("form")).distinct()
     stored = cut(stored)
     several = stored.groupBy("kind", "form").agg(F.min("stored").alias("x"), F.max("stored").alias("y")).where("x <> y").select("kind", "form")
     own = stored.join(several, ["kind", "form"], "left_semi")
