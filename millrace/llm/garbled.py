@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -166,11 +167,17 @@ _EDGE = re.compile("^([^\\w\ufffd\u0080-\uffff]*)(.*?)([^\\w\ufffd\u0080-\uffff]
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     channels = Channels()
-    names = ["page", "i", "token", "channel", "text", "sure", "lost", "skeleton", "words", "own"]
-    kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()))
+    look = re.compile(LOOK)
+    names = ["page", "i", "token", "channel", "text", "sure", "lost", "skeleton", "words", "own", "n"]
+    kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64())
     for batch in batches:
-        rows = []
+        rows, usual = [], Counter()
         for page, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if text.isascii():
+                continue
+            usual.update(_WORD.findall(text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)))
+            if not look.search(text):
+                continue
             mine, worth = [], False
             for i, token in enumerate(_SPLIT.split(text)):
                 if token.isascii():
@@ -184,11 +191,16 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         rest = [(c, p) for c, p, _ in channels.read(core)] if core != token else [(channel, read)]
                         read = next((p for c, p in rest if c == channel), read)
                         # the encoding's own view of the token gives the skeleton
-                        mine.append((page, i, token, channel, read, sure, True, skeleton(core.lower().replace("\u0130", "i")), [], own))
+                        mine.append((page, i, token, channel, read, sure, True, skeleton(core.lower().replace("\u0130", "i")), [], own, None))
                     else:
-                        mine.append((page, i, token, channel, read, sure, False, None, _WORD.findall(unicodedata.normalize("NFC", read).lower()), own))
+                        mine.append((page, i, token, channel, read, sure, False, None, _WORD.findall(unicodedata.normalize("NFC", read).lower()), own, None))
             if worth:
                 rows += mine
+        small: Counter = Counter()
+        for w, n in usual.items():
+            if not w.isascii():
+                small[w.lower()] += n
+        rows += [(None, None, w, None, None, None, None, None, None, None, n) for w, n in small.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=names)
 
 
@@ -264,9 +276,10 @@ def damaged_tokens(pages: DataFrame, page: str, text: str) -> DataFrame:
     Word frequencies are counted over all pages.
     """
     slim = pages.select(F.col(page).cast("long").alias("page"), F.col(text).cast("string").alias("text")).where("page is not null and text is not null")
-    found = cut(slim.where(F.col("text").rlike(LOOK)).mapInArrow(_candidates, "page long, i int, token string, channel string, text string, sure boolean, lost boolean, skeleton string, words array<string>, own array<string>"))
-    words = slim.where(F.col("text").rlike("[^\\x00-\\x7f]")).select(F.explode(F.split("text", "[^\\p{L}\\p{M}]+")).alias("w")).where(F.col("w").rlike("[^\\x00-\\x7f]")).groupBy("w").agg(F.count("*").alias("n"))
-    words = cut(words.groupBy(F.lower("w").alias("w")).agg(F.sum("n").alias("n")))
+    # one pass over the pages: what tokens may have been, and how often each word occurs, counted per batch
+    both = cut(slim.mapInArrow(_candidates, "page long, i int, token string, channel string, text string, sure boolean, lost boolean, skeleton string, words array<string>, own array<string>, n long"))
+    found = both.where("n is null").drop("n")
+    words = cut(both.where("n is not null").groupBy(F.col("token").alias("w")).agg(F.sum("n").alias("n")))
     total = float(words.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0])
     log = lambda n, more: F.log((F.coalesce(n, F.lit(0)) + F.lit(more)) / F.lit(total + 1))
     # how usual the token is as it stands
