@@ -95,7 +95,7 @@ QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p4
 SQL: dict[str, str] = {
     "p4_profiles": r"""
 WITH doc AS (SELECT DISTINCT doc_id, content FROM source_documents WHERE content IS NOT NULL),
-line AS (SELECT doc_id, content, list_filter(list_transform(string_split_regex(regexp_replace(content, '\r\n?|[\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]', chr(10), 'g'), '\n'), x -> regexp_replace(x, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')), x -> x <> '') AS l FROM doc),
+line AS (SELECT doc_id, content, list_filter(list_transform(string_split_regex(regexp_replace(content, '\r\n?|[\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]', chr(10), 'g'), '\n'), lambda x: regexp_replace(x, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')), lambda x: x <> '') AS l FROM doc),
 audit AS (SELECT doc_id, max({'t': audited_at, 'w': coalesce(word_count, -1)}) AS a FROM source_audit GROUP BY doc_id)
 SELECT line.doc_id, length(content) AS char_count,
   len(regexp_extract_all(content, '[^\s\x{1c}-\x{1f}\x{85}\pZ]+')) AS word_count,
