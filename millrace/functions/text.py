@@ -5,6 +5,8 @@ Blanks are Unicode blanks everywhere. Null in, null out, unless a docstring says
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ NOT_WS = r"[^\s\x{b}\x{1c}-\x{1f}\x{85}\pZ]"
 WORD = r"[\pL\pN_]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once per row, however often body (or a lambda in it) uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without blanks at both ends."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
@@ -49,15 +56,13 @@ def char_ngrams(c: Column, n: int) -> Column:
 
 def word_shingles(c: Column, n: int = 5) -> Column:
     """Distinct runs of n lower-case words joined by U+001F; fewer words make one run, none the empty string."""
-    w = words(F.lower(c))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - F.lit(n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(n)), "\x1f"))
-    return F.array_distinct(runs)
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - F.lit(n - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(n)), "\x1f"))
+    return let(words(F.lower(c)), lambda w: F.array_distinct(runs(w)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two arrays without repeats; 0 where both are empty."""
-    both = F.size(F.array_intersect(a, b))
-    return F.coalesce(F.try_divide(both.cast("double"), F.size(a) + F.size(b) - both), F.lit(0.0))
+    return let(F.size(F.array_intersect(a, b)), lambda both: F.coalesce(F.try_divide(both.cast("double"), F.size(a) + F.size(b) - both), F.lit(0.0)))
 
 
 def sentences(c: Column) -> Column:
@@ -125,8 +130,7 @@ def lines(c: Column, longer: int = 0) -> Column:
 
 def unique_line_ratio(c: Column) -> Column:
     """Distinct over all lines of more than five characters; 0 without any."""
-    x = lines(c, 5)
-    return F.coalesce(F.try_divide(F.size(F.array_distinct(x)).cast("double"), F.size(x)), F.lit(0.0))
+    return let(lines(c, 5), lambda x: F.coalesce(F.try_divide(F.size(F.array_distinct(x)).cast("double"), F.size(x)), F.lit(0.0)))
 
 
 def unique_chars(c: Column) -> Column:

@@ -34,10 +34,10 @@ def set_pairs(sets: DataFrame, key: str, items: str, threshold: float) -> DataFr
 
     Equal sets are one class, so a text copied a million times is one row. Prefix filter: with items in
     order of rarity, two similar sets share one of their rarest (1 - threshold) shares; only those are
-    joined, with a length filter, and the rest verified. a and b are the smallest keys of their classes.
+    joined, with a length filter, and the rest verified. Items are compared as 64-bit values. a and b are the smallest keys of their classes.
     """
-    s = sets.select(F.col(key).alias("id"), F.array_sort(F.array_distinct(items)).alias("s")).where("size(s) > 0")
-    reps = cut(s.groupBy(F.sha2(F.array_join("s", "\x1e"), 256).alias("h")).agg(F.min("id").alias("id"), F.first("s").alias("s")).select("id", "s"))
+    s = sets.select(F.col(key).alias("id"), F.array_sort(F.array_distinct(F.transform(items, lambda x: F.xxhash64(x)))).alias("s")).where("size(s) > 0")
+    reps = cut(s.groupBy(F.xxhash64("s").alias("h"), F.hash("s").alias("g")).agg(F.min("id").alias("id"), F.first("s").alias("s")).select("id", "s"))
     long = reps.select("id", F.explode("s").alias("x"), F.size("s").alias("n"))
     often = long.groupBy("x").agg(F.count("*").alias("df"))
     rank = Window.partitionBy("id").orderBy("df", "x")
@@ -53,9 +53,10 @@ def set_pairs(sets: DataFrame, key: str, items: str, threshold: float) -> DataFr
 
 def near_dup_clusters(docs: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5) -> DataFrame:
     """(key, component, size): every text with the smallest key of its near-duplicate component, over word n-grams."""
-    sets = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), word_shingles(F.col(text), n).alias("s"))
+    sets = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.array_sort(F.transform(word_shingles(F.col(text), n), lambda x: F.xxhash64(x))).alias("s"))
+    sets = cut(sets)
     pairs = set_pairs(sets, "id", "s", threshold)
-    keyed = sets.select("id", F.sha2(F.array_join(F.array_sort("s"), "\x1e"), 256).alias("h"))
+    keyed = sets.select("id", F.xxhash64("s").alias("h"))
     rep = keyed.groupBy("h").agg(F.min("id").alias("rep"))
     parts = connected_components(pairs)
     out = keyed.join(rep, "h").join(parts, F.col("rep") == F.col("node"), "left").select("id", F.coalesce("root", "rep").alias("component"))
@@ -125,8 +126,8 @@ def simhash_dedup(docs: DataFrame, key: str, text: str, distance: int = 3) -> Da
 
 def ngram_dedup(docs: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5) -> DataFrame:
     """(id): texts dropped because an earlier kept one shares enough character n-grams."""
-    sets = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.array_distinct(char_ngrams(F.col(text), n)).alias("s"))
-    keyed = sets.select("id", F.sha2(F.array_join(F.array_sort("s"), "\x1e"), 256).alias("h"))
+    sets = cut(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.array_sort(F.array_distinct(F.transform(char_ngrams(F.col(text), n), lambda x: F.xxhash64(x)))).alias("s")))
+    keyed = sets.select("id", F.xxhash64("s").alias("h"))
     rep = keyed.groupBy("h").agg(F.min("id").alias("rep"))
     gone = greedy_keep_first(set_pairs(sets, "id", "s", threshold)).select(F.col("id").alias("r"))
     all_ = keyed.join(rep, "h")

@@ -156,6 +156,6 @@ def factual(subject: Column, object_: Column, response: Column) -> Column:
 
 def bigrams(texts: DataFrame, text: str) -> DataFrame:
     """(bigram, n): pairs of neighbouring lower-case words over all texts."""
-    w = words(F.lower(F.col(text)))
-    pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws("_", F.get(w, i - 1), F.get(w, i)))
-    return texts.where(F.size(w) > 1).select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
+    w = texts.select(words(F.lower(F.col(text))).alias("w")).where("size(w) > 1")
+    pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws("_", a, b))
+    return w.select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
