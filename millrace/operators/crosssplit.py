@@ -45,28 +45,29 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def banded(a: str, b: str, k: int) -> int:
-    """Edit distance of a and b, or k + 1 if it's more than k."""
-    n, m = len(a), len(b)
+    """Edit distance of a and b, or k + 1 if it's more than k; a band of 2k + 1 cells a row."""
+    if a == b:
+        return 0
+    n, m, big = len(a), len(b), k + 1
     if abs(n - m) > k:
-        return k + 1
-    big = k + 1
-    row = [j if j <= k else big for j in range(m + 1)]
+        return big
+    row = [d - k if 0 <= d - k <= m else big for d in range(2 * k + 1)]
     for i in range(1, n + 1):
-        low, high = max(1, i - k), min(m, i + k)
-        diagonal = row[low - 1]
-        row[low - 1] = i if low == 1 and i <= k else big
-        if low > 1:
-            row[low - 1] = big
-        best, x = big, a[i - 1]
-        for j in range(low, high + 1):
-            up = row[j] if j < i + k else big
-            v = min(diagonal + (x != b[j - 1]), up + 1, row[j - 1] + 1)
-            diagonal = row[j]
-            row[j] = v if v < big else big
-            best = min(best, v)
-        if best > k:
+        new, x = [], a[i - 1]
+        for d in range(2 * k + 1):
+            j = i + d - k
+            if j < 0 or j > m:
+                new.append(big)
+            elif j == 0:
+                new.append(min(i, big))
+            else:
+                up = row[d + 1] + 1 if d < 2 * k else big
+                left = new[d - 1] + 1 if d else big
+                new.append(min(row[d] + (x != b[j - 1]), up, left, big))
+        if min(new) > k:
             return big
-    return min(row[m], big)
+        row = new
+    return min(row[m - n + k], big)
 
 
 def word_changes(a: str, b: str, most: int = 2) -> list[tuple[str, str]] | None:
