@@ -141,7 +141,7 @@ class Channels:
             out.append(("lost", "".join("." if c == _LOST else "".join(f"{b:02x}" for b in c.encode()) for c in token), True))
         elif not plain and any(c in TCVN3 for c in token):
             text = "".join(TCVN3.get(c, c) for c in token)
-            if all(c.isascii() or c in TCVN3 for c in token) and any(c.isascii() and c.isalpha() for c in token):
+            if all(c.isascii() or c in TCVN3 for c in token) and (any(c.isascii() and c.isalpha() for c in token) or sum(c in TCVN3 for c in token) > 1):
                 out.append(("tcvn3", text, False))
         if len(self.known) > _CACHE:
             self.known.clear()

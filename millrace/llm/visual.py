@@ -102,7 +102,7 @@ def cluster_forms(spark: SparkSession, clusters: DataFrame) -> DataFrame:
     """(cluster, form) of distinct clusters."""
     maps = spark.createDataFrame(mapping(), "ch string, parts array<string>")
     order = spark.createDataFrame(classes(), "part string, class int")
-    points = clusters.select("cluster", F.posexplode(F.split("cluster", "(?!^)")).alias("pos", "ch"))
+    points = clusters.select("cluster", F.posexplode(F.filter(F.split("cluster", ""), lambda x: x != "")).alias("pos", "ch"))
     parts = points.join(F.broadcast(maps), "ch", "left").select("cluster", "pos", F.posexplode(F.coalesce("parts", F.array("ch"))).alias("sub", "part"))
     parts = parts.join(F.broadcast(order), "part", "left").withColumn("class", F.coalesce("class", F.lit(0)))
     w = Window.partitionBy("cluster").orderBy("pos", "sub").rowsBetween(Window.unboundedPreceding, 0)
