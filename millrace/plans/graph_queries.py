@@ -482,4 +482,26 @@ SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN '
 k AS (SELECT subject, object, string_agg(v, ';' ORDER BY pos) FILTER (v NOT IN (SELECT c FROM gone)) AS chunks, count(*) AS n FROM p GROUP BY 1, 2) SELECT e.subject, e.object, coalesce(chunks, '') AS chunks FROM e LEFT JOIN k ON e.subject = k.subject AND e.object = k.object WHERE k.n IS NULL OR chunks IS NOT NULL""",
     "graph_search": f"{_G} SELECT id, name, (SELECT count(*) FROM edge WHERE subject = id) + (SELECT count(*) FROM edge WHERE object = id) AS degree FROM node WHERE contains(lower(name), 'museum') ORDER BY degree DESC, id LIMIT 25",
     "weak_components": f"{_G.replace('WITH', 'WITH RECURSIVE', 1)}{_REACH}, reach(a, b) AS (SELECT id, id FROM node UNION SELECT reach.a, und.b FROM reach JOIN und ON reach.b = und.a) SELECT a AS id, min(b) AS component FROM reach GROUP BY a",
+    "grouped_split": "SELECT DISTINCT item_id, CASE WHEN ('0x' || substring(sha256('42:' || coalesce(_group_id, '')), 1, 13))::BIGINT / 4503599627370496.0 < 0.2 THEN 'test' ELSE 'train' END AS split FROM qa_items",
+    "knowledge_edges": f"""{_G}, d AS (SELECT subject, object, arg_max(description, pos) FILTER (description <> '') AS description FROM tri GROUP BY 1, 2)
+SELECT 'edge:' || substring(sha256(subject || chr(31) || object || chr(31) || description), 1, 20) AS id, subject AS source, object AS target FROM d WHERE description IS NOT NULL""",
+    "inferred_relations": f"""WITH {_ENT}, {_TRI}, r(h, o, p, i) AS (VALUES {", ".join(str((*x, i)) for i, x in enumerate(extract.RELATIONS))}),
+t AS (SELECT tri.pos, subject AS s, object AS o, coalesce(a.type, 'ENTITY') AS st, coalesce(b.type, 'ENTITY') AS ot FROM tri JOIN ent a ON a.id = subject JOIN ent b ON b.id = object),
+m AS (SELECT t.pos, t.s, t.o, st, ot, arg_min({{'p': r.p, 'f': r.h = st AND r.o = ot}}, r.i) AS x FROM t LEFT JOIN r ON (r.h = st AND r.o = ot) OR (r.h = ot AND r.o = st) GROUP BY ALL),
+y AS (SELECT pos, coalesce(x.p, CASE WHEN st = ot THEN 'related_to' ELSE 'associated_with' END) AS p, CASE WHEN coalesce(x.f, true) THEN s ELSE o END AS a, CASE WHEN coalesce(x.f, true) THEN o ELSE s END AS b FROM m)
+SELECT pos, CASE WHEN p IN {_SYM} AND b < a THEN b ELSE a END AS subject, p AS predicate, CASE WHEN p IN {_SYM} AND b < a THEN a ELSE b END AS object FROM y""",
+    "token_balance": rf"""WITH q AS (SELECT item_id, split, min(len(regexp_extract_all(question || chr(10) || coalesce(answer, ''), '[\pL\pN_]+|[^\pL\pN_\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\pZ]'))) AS n FROM qa_items WHERE question IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT item_id, n, sum(n) OVER (ORDER BY item_id) AS s FROM q WHERE split = 'train') SELECT item_id, n FROM r WHERE s <= (SELECT sum(n) FROM q WHERE split <> 'train') OR s = n""",
+    "coverage_scores": rf"""WITH {_ENT}, k AS (SELECT *, {{kg}} AS kn FROM ent), t AS (SELECT t.pos, a.kn AS a, lower(predicate) AS p, b.kn AS b FROM triples t JOIN k a ON t.subject = a.id JOIN k b ON t.object = b.id),
+n AS (SELECT DISTINCT kn FROM k WHERE confidence > 0.5), h AS (SELECT DISTINCT a, p, b FROM t WHERE pos % 2 = 0), u AS (SELECT a, b FROM h UNION SELECT b, a FROM h),
+f AS (SELECT *, (a, p, b) IN (SELECT (a, p, b) FROM h) AS e, (a, b) IN (SELECT (a, b) FROM u) AS c, a IN (SELECT kn FROM n) AND b IN (SELECT kn FROM n) AS m FROM t)
+SELECT count(*) AS facts, count(*) FILTER (e) AS exact, count(*) FILTER (c) AS connected, count(*) FILTER (m) AS mentioned, round(0.5 * avg(e::INT) + 0.3 * avg(c::INT) + 0.2 * avg(m::INT), 4) AS coverage FROM f""".replace("{{kg}}", "{kg}").replace("{kg}", rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(name), '^{T.WS}+|{T.WS}+$', '', 'g'), '^(?:the|a|an){T.WS}+', ''), '[,;:.!?\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\pZ]+$', ''), '{T.WS}+', ' ', 'g'), '^{T.WS}+|{T.WS}+$', '', 'g')"),
+    "kg_quality": f"""{_G.replace('WITH', 'WITH RECURSIVE', 1)}{_REACH}, reach(a, b) AS (SELECT id, id FROM node UNION SELECT reach.a, und.b FROM reach JOIN und ON reach.b = und.a), comp AS (SELECT a AS id, min(b) AS c FROM reach GROUP BY a),
+e AS (SELECT avg((coalesce(name, '') <> '')::INT) AS hn, avg((coalesce(type, '') <> '')::INT) AS ht, avg((coalesce(len(aliases), 0) > 0)::INT) AS ha, avg((coalesce(type, '') IN ('', 'UNKNOWN') OR coalesce(len(aliases), 0) = 0)::INT) AS miss,
+  avg((coalesce(type, '') NOT IN ('', 'ENTITY', 'UNKNOWN', 'NAMED_ENTITY', 'CONCEPT'))::INT) AS lab, avg((coalesce(type, '') NOT IN ('ENTITY', 'UNKNOWN', 'Chunk', 'Document'))::INT) AS mean, avg((coalesce(description, '') <> '')::INT) AS des, 1 - count(DISTINCT lower(name)) / count(*) AS dup FROM ent),
+t AS (SELECT avg((subject IS NULL OR object IS NULL OR subject NOT IN (SELECT id FROM node) OR object NOT IN (SELECT id FROM node))::INT) AS loose, 1 - count(DISTINCT coalesce(subject, '') || chr(31) || coalesce(predicate, '') || chr(31) || coalesce(object, '')) / count(*) AS dup, avg((coalesce(subject, '') = '' OR coalesce(predicate, '') = '' OR coalesce(object, '') = '')::INT) AS bad FROM triples),
+n AS (SELECT avg((type IS NULL OR type IN ('UNKNOWN', ''))::INT) AS un, count(*) AS n FROM node), g AS (SELECT max(k) AS big FROM (SELECT count(*) AS k FROM comp GROUP BY c)),
+r AS (SELECT (hn + ht + ha) / 3 AS completeness, ((1 - loose) + (1 - un)) / 2 AS consistency, (e.dup + t.dup) / 2 AS duplication_level, miss AS missing_information, bad AS format_errors, lab AS labeling_quality, 0.4 + 0.2 * big / n.n + 0.2 * mean + 0.2 * des AS reusability FROM e, t, n, g)
+SELECT round(completeness, 6) AS completeness, round(consistency, 6) AS consistency, round(duplication_level, 6) AS duplication_level, round(missing_information, 6) AS missing_information, round(format_errors, 6) AS format_errors, round(labeling_quality, 6) AS labeling_quality, round(reusability, 6) AS reusability,
+  round((completeness + consistency + labeling_quality + reusability + 1 - duplication_level + 1 - format_errors + 1 - missing_information) / 7, 6) AS overall FROM r""",
 }
