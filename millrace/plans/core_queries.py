@@ -44,7 +44,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item with its group and the split the whole group goes to."""
     items = table(spark, sf_dir, "qa_items").select("item_id", "_group_id", "source", "type")
-    shares = {r["split"]: r["share"] for r in table(spark, sf_dir, "split_targets").limit(100).collect()}
+    shares = {r["split"]: r["share"] for r in table(spark, sf_dir, "split_targets").collect()}
     return grouped_splits(items, "item_id", ["_group_id", "source"], "type", shares).select(F.col("item").alias("item_id"), F.col("root").alias("group_item_id"), "split")
 
 
