@@ -66,13 +66,13 @@ def ngram_greedy_dedup(spark, sf_dir):
 def cosine_search(spark, sf_dir):
     """Vectors whose id is divisible by 20 against all."""
     v = table(spark, sf_dir, "embeddings")
-    return dedup.cosine_pairs(v, "vec_id", "embedding", 0.6, F.col("vec_id") % 20 == 0).select("a", "b", F.round("similarity", 4).alias("similarity"))
+    return dedup.cosine_pairs(v, "vec_id", "embedding", 0.3, F.col("vec_id") % 20 == 0).select("a", "b", F.round("similarity", 4).alias("similarity"))
 
 
 def semantic_clusters(spark, sf_dir):
     from millrace.operators.components import connected_components
 
-    pairs = dedup.cosine_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.92)
+    pairs = dedup.cosine_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.42)
     return connected_components(pairs).select(F.col("node").alias("vec_id"), F.col("root").alias("cluster"))
 
 
@@ -425,7 +425,7 @@ l AS (SELECT a, b FROM p WHERE c / (na + nb - c) >= 0.8 - 1e-12 UNION SELECT b,
 reach(a, b) AS (SELECT rep, rep FROM r UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
 c AS (SELECT a AS rep, min(b) AS component FROM reach GROUP BY a)
 SELECT s.pos, c.component, count(*) OVER (PARTITION BY c.component) AS size FROM s JOIN r ON s.s = r.s JOIN c ON c.rep = r.rep""",
-    "cosine_search": "SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.6",
+    "cosine_search": "SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3",
     "line_frequency": "SELECT line, count(*) AS pages FROM (SELECT DISTINCT doc_id, trim(unnest(string_split(text, chr(10)))) AS line FROM documents WHERE text IS NOT NULL) WHERE length(line) >= 4 GROUP BY line HAVING count(*) > 1",
     "frequent_lines_dropped": """WITH x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
 f AS (SELECT trim(line) AS l FROM x WHERE length(trim(line)) >= 4 GROUP BY 1 HAVING count(DISTINCT doc_id) >= greatest(2, floor((SELECT count(*) FROM documents WHERE text IS NOT NULL) * 0.01))),
@@ -504,4 +504,12 @@ n AS (SELECT avg((type IS NULL OR type IN ('UNKNOWN', ''))::INT) AS un, count(*)
 r AS (SELECT (hn + ht + ha) / 3 AS completeness, ((1 - loose) + (1 - un)) / 2 AS consistency, (e.dup + t.dup) / 2 AS duplication_level, miss AS missing_information, bad AS format_errors, lab AS labeling_quality, 0.4 + 0.2 * big / n.n + 0.2 * mean + 0.2 * des AS reusability FROM e, t, n, g)
 SELECT round(completeness, 6) AS completeness, round(consistency, 6) AS consistency, round(duplication_level, 6) AS duplication_level, round(missing_information, 6) AS missing_information, round(format_errors, 6) AS format_errors, round(labeling_quality, 6) AS labeling_quality, round(reusability, 6) AS reusability,
   round((completeness + consistency + labeling_quality + reusability + 1 - duplication_level + 1 - format_errors + 1 - missing_information) / 7, 6) AS overall FROM r""",
+    "bio_spans": f"""WITH q AS (SELECT DISTINCT item_id, {_w('question')} AS w FROM qa_items WHERE question IS NOT NULL), x AS (SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM q),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY item_id ORDER BY i) AS g FROM x WHERE regexp_matches(word, '^[A-Z][a-z]+')) SELECT item_id, min(i) AS start, string_agg(word, ' ' ORDER BY i) AS text FROM g GROUP BY item_id, g""",
+    "incremental_match": f"""WITH {_ENT}, e AS (SELECT ('0x' || substring(md5(id), 1, 15))::BIGINT AS pos, coalesce(type, '') AS type, list_distinct({_w('lower(name)')}) AS s FROM ent),
+p AS (SELECT a.pos, b.pos AS id, len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) AS sim FROM e a JOIN e b ON a.type = b.type AND a.pos % 4 = 0 AND b.pos % 4 <> 0 WHERE len(list_intersect(a.s, b.s)) > 0),
+m AS (SELECT pos, arg_max({{'id': id, 'sim': sim}}, {{'s': sim, 'n': -id}}) AS m FROM p WHERE sim >= 0.6 GROUP BY pos)
+SELECT e.pos, m.m.id AS stored_id, m.m.sim AS similarity FROM e LEFT JOIN m ON e.pos = m.pos WHERE e.pos % 4 = 0""",
+    "semantic_clusters": """WITH RECURSIVE l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.42),
+reach(a, b) AS (SELECT a, a FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a) SELECT a AS vec_id, min(b) AS cluster FROM reach GROUP BY a""",
 }

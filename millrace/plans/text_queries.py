@@ -233,4 +233,7 @@ FROM triples t JOIN n a ON t.subject = a.node_id JOIN n b ON t.object = b.node_i
     "quality_profiles": _QUALITY,
     "quality_filter": _QUALITY.replace("SELECT pos, round((least", "SELECT pos FROM (SELECT pos, round((least") + ") WHERE rejections = ''",
     "quality_report": f"SELECT reason, count(*) AS n FROM (SELECT unnest(list_filter(string_split(concat_ws(';', rejections, flags), ';'), lambda x: x <> '')) AS reason FROM ({_QUALITY})) GROUP BY reason",
+    "repaired_text": "SELECT doc_id, length(nfc_normalize(text)) AS n, md5(nfc_normalize(text)) AS md5 FROM documents WHERE text IS NOT NULL",
+    "furniture_lines": f"""WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(regexp_replace(x, {_STRIP})) >= 3 AND regexp_replace(x, {_STRIP}) NOT IN {T.FURNITURE!s} AND NOT regexp_matches(regexp_replace(x, {_STRIP}), '^({'|'.join(T.FURNITURE_STARTS)})') AND NOT regexp_matches(regexp_replace(x, {_STRIP}), '^\\d{{2}}/\\d{{2}}/\\d{{4}}$|^\\d{{2,4}}$')) AS l FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, md5(regexp_replace(regexp_replace(array_to_string(l, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), {_STRIP})) AS md5 FROM l""",
 }
