@@ -32,6 +32,7 @@ _HYPHENS = (*range(0x2010, 0x2016), 0x2043, 0x2212, 0xFE58, 0xFE63, 0xFF0D, 0x18
 #: Compatibility forms that look like what they stand for; raised, circled or stacked ones don't.
 _LIKE = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<font>", "<small>")
 _CUT = "\uffff"
+_NONE = "\uffff"
 
 
 def _class(java: str) -> str:
@@ -131,9 +132,11 @@ def visual_forms(texts: DataFrame, text: str) -> DataFrame:
     odd = pieces.select(F.col("piece").alias("cluster")).where(F.col("cluster").rlike(f"^(?:{CLUSTER})$")).distinct()
     forms = cut(cluster_forms(spark, odd))
     built = pieces.join(forms, F.col("piece") == F.col("cluster"), "left").groupBy("_id", "_jd").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("form", "piece").alias("p")))), lambda x: x["p"]), "").alias("_built"))
-    keyed = texts.withColumn("_id", F.xxhash64(text)).withColumn("_jd", F.hash(text))
-    clean = F.regexp_replace(F.coalesce("_built", F.col(text)), r"[ ]+(?=\n|\z)", "")
-    return keyed.join(built, ["_id", "_jd"], "left").withColumn("form", clean).drop("_id", "_jd", "_built")
+    clean = lambda c: F.regexp_replace(c, r"[ ]+(?=\n|\z)", "")
+    # stable texts pass without a shuffle; only rebuilt ones are joined
+    odd_rows = texts.where(needs_form(text)).withColumn("_id", F.xxhash64(text)).withColumn("_jd", F.hash(text)).join(built, ["_id", "_jd"], "left")
+    odd_rows = odd_rows.withColumn("form", clean(F.coalesce("_built", F.col(text)))).drop("_id", "_jd", "_built")
+    return texts.where(~needs_form(text)).withColumn("form", clean(F.col(text))).unionByName(odd_rows)
 
 
 def look_alikes(texts: DataFrame, kind: str, key: str, text: str) -> DataFrame:
@@ -145,7 +148,13 @@ def look_alikes(texts: DataFrame, kind: str, key: str, text: str) -> DataFrame:
     slim = texts.select(F.col(kind).cast("string").alias("kind"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null")
     stored = visual_forms(slim, "text").where(F.col("form").rlike(r"\S")).select("kind", "key", F.unhex(F.md5("text")).alias("stored"), F.unhex(F.md5("form")).alias("form")).distinct()
     stored = cut(stored)
+    stored = stored.withColumn("kind", F.coalesce("kind", F.lit(_NONE)))
     several = stored.groupBy("kind", "form").agg(F.min("stored").alias("x"), F.max("stored").alias("y")).where("x <> y").select("kind", "form")
     own = stored.join(several, ["kind", "form"], "left_semi")
-    a, b = own.select("kind", "form", F.col("key").alias("key_a"), F.col("stored").alias("sa")), own.select("kind", "form", F.col("key").alias("key_b"), F.col("stored").alias("sb"))
-    return a.join(b, ["kind", "form"]).where("key_a < key_b and sa <> sb").select("kind", "key_a", "key_b").distinct()
+    # ways of storing one form meet first, keys after that: copies stored alike never meet each other
+    ways = own.select("kind", "form", "stored").distinct()
+    a, b = ways.select("kind", "form", F.col("stored").alias("sa")), ways.select("kind", "form", F.col("stored").alias("sb"))
+    pair = a.join(b, ["kind", "form"]).where("sa < sb")
+    left, right = own.select("kind", "form", F.col("stored").alias("sa"), F.col("key").alias("x")), own.select("kind", "form", F.col("stored").alias("sb"), F.col("key").alias("y"))
+    out = pair.join(left, ["kind", "form", "sa"]).join(right, ["kind", "form", "sb"]).where("x <> y")
+    return out.select(F.nullif("kind", F.lit(_NONE)).alias("kind"), F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
