@@ -9,7 +9,8 @@ runs, with overlapping ranges, so texts whose sizes differ by up to a factor two
 
 1. one pass over the texts emits, per batch and bucket, packed (list key, class) arrays; a class is
    a set of texts with the same runs, so exact copies count once however many there are;
-2. each bucket, a bounded share of all keys, turns lists into weighted class pairs;
+2. each bucket, a bounded share of all keys, turns lists into weighted class pairs; of a hot list every
+   pair is judged by the union sketch instead, in blocks, at the smallest hot key that the two share;
 3. for pairs with enough weight the union sketch (the smallest values of both) estimates the
    similarity; only pairs it leaves open get their whole run sets and are compared exactly.
 """
@@ -33,6 +34,8 @@ from millrace.session import cut
 LEVELS = ((4, 64, 1 << 40, 2), (3, 16, 127, 1), (2, 6, 31, 2), (1, 1, 11, 3))
 ENOUGH = 3
 HOT = 256
+#: Classes of a hot list in one block; a task gets two blocks.
+BLOCK = 2048
 #: Most rows (16 bytes each) of a side that is broadcast; more are joined by shuffling.
 BROADCAST_ROWS = 1_000_000
 #: Values of the sketch that filters pairs before their run sets are moved.
@@ -40,21 +43,17 @@ FILTER = 32
 _PAD = np.uint32(0xFFFFFFFF)
 
 
-def _keys(sketch: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """List keys of one text, the level in the lowest two bits, and what refines a hot list."""
-    keys, ext = [], []
+def _keys(sketch: np.ndarray, n: int) -> np.ndarray:
+    """List keys of one text, the level in the lowest two bits."""
+    keys = []
     for r, low, high, _ in LEVELS:
         m = len(sketch) - r + 1
         if low <= n <= high and m > 0:
             h = sketch[:m]
             for j in range(1, r):
                 h = mix(h * np.uint64(0x9E3779B97F4A7C15) + sketch[j : j + m])
-            more = np.zeros(m, np.uint64)
-            if len(sketch) > r:
-                more[: len(sketch) - r] = sketch[r:]
             keys.append((mix(h) & ~np.uint64(3)) | np.uint64(r - 1))
-            ext.append((more >> np.uint64(11)).astype(np.uint16))
-    return (np.concatenate(keys), np.concatenate(ext)) if keys else (np.empty(0, np.uint64), np.empty(0, np.uint16))
+    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
 def _pack(words: int, k: int, buckets: int):
@@ -63,7 +62,7 @@ def _pack(words: int, k: int, buckets: int):
         for batch in batches:
             rows, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             member_row, member_class, known = [], [], {}
-            keys, exts, owners, sketches = [], [], [], []
+            keys, owners, sketches, sizes = [], [], [], []
             for row, text in zip(rows, texts):
                 s = run_set(text, words, hasher)
                 if len(s) == 0:
@@ -74,18 +73,18 @@ def _pack(words: int, k: int, buckets: int):
                 if c in known:
                     continue
                 known[c] = len(known)
-                key, ext = _keys(s[:k], len(s))
+                key = _keys(s[:k], len(s))
+                sizes.append(len(s))
                 sketch = np.full(FILTER, _PAD)
                 sketch[: min(FILTER, len(s))] = s[:FILTER] >> np.uint64(32)
                 sketches.append(sketch)
                 keys.append(key)
-                exts.append(ext)
                 owners.append(np.full(len(key), known[c], np.uint32))
             if not member_row:
                 continue
-            member = b"".join((np.asarray([len(member_row), len(known)], np.int64).tobytes(), np.asarray(member_class, np.uint64).tobytes(), np.asarray(member_row, np.int64).tobytes(), np.fromiter(known, np.uint64, len(known)).tobytes(), np.concatenate(sketches).tobytes()))
+            member = b"".join((np.asarray([len(member_row), len(known)], np.int64).tobytes(), np.asarray(member_class, np.uint64).tobytes(), np.asarray(member_row, np.int64).tobytes(), np.fromiter(known, np.uint64, len(known)).tobytes(), np.asarray(sizes, np.int64).tobytes(), np.concatenate(sketches).tobytes()))
             out_bucket, out_blob = [-1 - int(member_class[0] % buckets)], [member]
-            key, ext, owner = np.concatenate(keys), np.concatenate(exts), np.concatenate(owners)
+            key, owner = np.concatenate(keys), np.concatenate(owners)
             classes = np.fromiter(known, np.uint64, len(known))
             bucket = ((key >> np.uint64(34)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -95,21 +94,20 @@ def _pack(words: int, k: int, buckets: int):
                 if len(o):
                     used, local = np.unique(owner[o], return_inverse=True)
                     out_bucket.append(b)
-                    out_blob.append(b"".join((np.asarray([len(used), len(o)], np.uint32).tobytes(), classes[used].tobytes(), key[o].astype(np.uint32).tobytes(), local.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes(), ext[o].tobytes())))
+                    out_blob.append(b"".join((np.asarray([len(used), len(o)], np.uint32).tobytes(), classes[used].tobytes(), key[o].astype(np.uint32).tobytes(), local.astype(np.uint32 if len(used) > 65535 else np.uint16).tobytes())))
             yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(out_blob, pa.binary())], names=["bucket", "blob"])
 
     return run
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n, m = np.frombuffer(blob, np.uint32, 2)
     n, m = int(n), int(m)
     classes = np.frombuffer(blob, np.uint64, n, 8)
     key = np.frombuffer(blob, np.uint32, m, 8 + 8 * n)
     wide = np.uint32 if n > 65535 else np.uint16
     local = np.frombuffer(blob, wide, m, 8 + 8 * n + 4 * m)
-    ext = np.frombuffer(blob, np.uint16, m, 8 + 8 * n + 4 * m + local.nbytes)
-    return key, classes[local], ext
+    return key, classes[local]
 
 
 def _list_pairs(key: np.ndarray, cls: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -128,42 +126,85 @@ def _list_pairs(key: np.ndarray, cls: np.ndarray) -> Iterator[tuple[np.ndarray,
 def _lists(keys: tuple, table: pa.Table) -> pa.Table:
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "w": pa.array([], pa.int32()), "sketch": pa.array([], pa.binary())})
     blobs = table.column("blob").to_pylist()
-    if keys[0].as_py() < 0:  # members: class and row; then each class's short sketch
+    if keys[0].as_py() < 0:  # members: class and row; then each class's size and short sketch
         out = []
         for x in blobs:
             n, m = (int(v) for v in np.frombuffer(x, np.int64, 2))
             at = 16 + 16 * n
-            sketches = [x[at + 8 * m + 4 * FILTER * i : at + 8 * m + 4 * FILTER * (i + 1)] for i in range(m)]
-            out.append((np.frombuffer(x, np.int64, n, 16), np.frombuffer(x, np.int64, n, 16 + 8 * n), np.frombuffer(x, np.int64, m, at), sketches))
-        a = np.concatenate([v for c, _, d, _ in out for v in (c, d)])
-        b = np.concatenate([v for _, r, d, _ in out for v in (r, np.zeros(len(d), np.int64))])
-        w = np.concatenate([v for c, _, d, _ in out for v in (np.full(len(c), -1, np.int32), np.full(len(d), -2, np.int32))])
-        return pa.table({"a": a, "b": b, "w": w, "sketch": pa.array([v for c, _, _, k in out for v in [None] * len(c) + k], pa.binary())})
+            sketches = [x[at + 16 * m + 4 * FILTER * i : at + 16 * m + 4 * FILTER * (i + 1)] for i in range(m)]
+            out.append((np.frombuffer(x, np.int64, n, 16), np.frombuffer(x, np.int64, n, 16 + 8 * n), np.frombuffer(x, np.int64, m, at), np.frombuffer(x, np.int64, m, at + 8 * m), sketches))
+        a = np.concatenate([v for c, _, d, _, _ in out for v in (c, d)])
+        b = np.concatenate([v for _, r, _, z, _ in out for v in (r, z)])
+        w = np.concatenate([v for c, _, d, _, _ in out for v in (np.full(len(c), -1, np.int32), np.full(len(d), -2, np.int32))])
+        return pa.table({"a": a, "b": b, "w": w, "sketch": pa.array([v for c, _, _, _, k in out for v in [None] * len(c) + k], pa.binary())})
     parts = [_unpack(x) for x in blobs]
-    key, cls, ext = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    key, cls = (np.concatenate([p[i] for p in parts]) for i in range(2))
     order = np.lexsort((cls, key))
-    key, cls, ext = key[order], cls[order], ext[order]
+    key, cls = key[order], cls[order]
     fresh = np.r_[True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])]
-    key, cls, ext = key[fresh], cls[fresh], ext[fresh]
-    # a hot list is split by the value that follows the stretch
+    key, cls = key[fresh], cls[fresh]
+    # hot lists leave as they are, for _hot_pairs
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)]))
-    key, ext = key.astype(np.uint64), ext.astype(np.uint64)
-    full = np.where(size > HOT, (key << np.uint64(17)) | (ext << np.uint64(1)) | np.uint64(1), key << np.uint64(17))
-    order = np.lexsort((cls, full))
-    full, cls = full[order], cls[order]
+    hot = size > HOT
+    a, b = [cls[hot].view(np.int64)], [key[hot].astype(np.int64) | np.int64(keys[0].as_py() << 32)]
+    w = [np.full(int(hot.sum()), -3, np.int32)]
     weight = np.zeros(4, np.int32)
-    for r, _, _, w in LEVELS:
-        weight[r - 1] = w
-    a, b, w = [], [], []
-    for x, y, k in _list_pairs(full, cls):
-        a.append(x)
-        b.append(y)
-        w.append(weight[((k >> np.uint64(17)) & np.uint64(3)).astype(np.int64)])
-    if not a:
-        return none
-    a, b, w = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64), np.concatenate(w)
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "w": w, "sketch": pa.nulls(len(w), pa.binary())})
+    for r, _, _, v in LEVELS:
+        weight[r - 1] = v
+    if not hot.all():
+        for x, y, k in _list_pairs(key[~hot], cls[~hot]):
+            x, y = x.view(np.int64), y.view(np.int64)
+            a.append(np.minimum(x, y))
+            b.append(np.maximum(x, y))
+            w.append(weight[(k & np.uint32(3)).astype(np.int64)])
+    a, b, w = np.concatenate(a), np.concatenate(b), np.concatenate(w)
+    return pa.table({"a": a, "b": b, "w": w, "sketch": pa.nulls(len(w), pa.binary())})
+
+
+def _near(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of two sketch matrices _estimate would keep; whole run sets are compared without its deviations."""
+    both = np.sort(np.concatenate((x, y), 1), 1)
+    real = both != _PAD
+    again = np.zeros_like(real)
+    again[:, 1:] = real[:, 1:] & (both[:, 1:] == both[:, :-1])
+    rank = np.cumsum(real & ~again, 1)
+    n = np.clip(rank[:, -1], 1, FILTER)
+    whole = (x[:, -1] == _PAD) & (y[:, -1] == _PAD)
+    near = np.where(whole, again.sum(1) / np.maximum(rank[:, -1], 1), (again & (rank <= FILTER)).sum(1) / n)
+    return near + np.where(whole, 0.01, 4 * np.sqrt(threshold * (1 - threshold) / n)) >= threshold
+
+
+def _hot_pairs(threshold: float):
+    """Pairs of a hot list that may be similar, of two of its blocks; a pair counts at the smallest hot key it shares."""
+
+    def run(keys: tuple, table: pa.Table) -> pa.Table:
+        key, one, two = (x.as_py() for x in keys)
+        cls, block, size = (table.column(c).to_numpy() for c in ("class", "block", "size"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, FILTER)
+        lists = table.column("keys").combine_chunks()
+        value, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(cls)), lists.value_lengths().to_numpy())
+        less = value < key
+        names, at = np.unique(value[less], return_inverse=True)
+        has = np.zeros((len(cls), len(names)), np.float32)
+        has[owner[less], at] = 1
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for s in range(0, len(left), 64):
+            rows = left[s : s + 64]
+            m, n = size[rows, None], size[None, right]
+            ok = (np.minimum(m, n) >= threshold * np.maximum(m, n)) & (has[rows] @ has[right].T == 0)
+            if one == two:
+                ok &= cls[rows, None] < cls[None, right]
+            i, j = np.nonzero(ok)
+            i, j = rows[i], right[j]
+            near = _near(sketch[i], sketch[j], threshold) if len(i) else np.empty(0, bool)
+            x, y = cls[i[near]], cls[j[near]]
+            out_a.append(np.minimum(x, y))
+            out_b.append(np.maximum(x, y))
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+
+    return run
 
 
 def _slim(s: np.ndarray) -> bytes:
@@ -237,10 +278,18 @@ def near_duplicates(docs: DataFrame, text: str, row: str, words: int = 5, thresh
     buckets = max(12, ceil(docs.count() / 4000))
     lists = cut(slim.mapInArrow(_pack(words, k, buckets), "bucket int, blob binary").groupBy("bucket").applyInArrow(_lists, "a long, b long, w int, sketch binary"))
     members = lists.where("w = -1").select(F.col("b").alias("row"), F.col("a").alias("class"))
-    sketch = lists.where("w = -2").groupBy(F.col("a").alias("class")).agg(F.first("sketch").alias("sketch"))
+    sketch = lists.where("w = -2").groupBy(F.col("a").alias("class")).agg(F.first("sketch").alias("sketch"), F.first("b").alias("size"))
     pairs = lists.where("w > 0").groupBy("a", "b").agg(F.sum("w").alias("w")).where(f"w >= {ENOUGH}").select("a", "b")
     pairs = pairs.join(sketch.select(F.col("class").alias("a"), F.col("sketch").alias("x")), "a").join(sketch.select(F.col("class").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y")
-    pairs = cut(pairs.mapInArrow(_estimate(threshold), "a long, b long"))
+    pairs = pairs.mapInArrow(_estimate(threshold), "a long, b long")
+    hot = lists.where("w = -3").select(F.col("a").alias("class"), F.col("b").alias("key"))
+    if not hot.isEmpty():
+        own = hot.groupBy("class").agg(F.collect_list("key").alias("keys")).join(sketch, "class")
+        blocks = hot.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        own = hot.join(own, "class").join(blocks, "key").withColumn("block", F.expr("cast(pmod(xxhash64(class), blocks) as int)"))
+        own = own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
+        pairs = pairs.union(own.select("key", "one", "two", "class", "block", "size", "keys", "sketch").groupBy("key", "one", "two").applyInArrow(_hot_pairs(threshold), "a long, b long")).distinct()
+    pairs = cut(pairs)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     first = members.groupBy("class").agg(F.min("row").alias("row")).join(wanted, "class", "left_semi")
     first = cut(first.select("class", "row"))

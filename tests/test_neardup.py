@@ -71,3 +71,16 @@ def test_copies_of_a_third_of_all_rows_make_no_pairs(spark):
     links, members = near_duplicates(df, "content", "pos", words=3, threshold=0.5)
     assert links.count() < 200
     assert members.groupBy("group").count().agg({"count": "max"}).first()[0] == 400
+
+
+def test_over_256_texts_on_one_template_match_brute_force(spark):
+    r = random.Random(4)
+    template = " ".join(f"t{i}" for i in range(22))
+    texts = [f"{template} " + " ".join(f"o{r.randrange(10**9)}" for _ in range(r.randrange(5, 17))) for _ in range(700)]
+    df = spark.createDataFrame([(i, t, f"d{i}", "x", "y", "z") for i, t in enumerate(texts)], SCHEMA)
+    links, members = near_duplicates(df, "content", "pos", words=3, threshold=0.5)
+    row = {m["class"]: m["row"] for m in members.collect()}
+    got = {tuple(sorted((row[x.a], row[x.b]))) for x in links.collect()}
+    sets = [_sets(t, 3) for t in texts]
+    want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if 2 * len(sets[i] & sets[j]) >= len(sets[i] | sets[j])}
+    assert len(want) > 50_000 and got <= want and len(got) >= 0.999 * len(want)
