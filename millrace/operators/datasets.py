@@ -25,19 +25,57 @@ def single_hop(triples: DataFrame, names: DataFrame) -> DataFrame:
     return t.select("pos", F.posexplode(forms).alias("k", "q")).select("pos", "k", "q.*")
 
 
+def _ranked(nodes: DataFrame) -> DataFrame:
+    """(id, ring, rank, size): the place of every node among those of its ring, in hash order; ranks count over two levels."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = nodes.select("id", "ring").distinct().withColumn("h", F.xxhash64("id"))
+    n = cut(n.repartitionByRange(parts, "ring", "h", "id").withColumn("p", F.spark_partition_id()))
+    of_ring = Window.partitionBy("ring")
+    base = n.groupBy("ring", "p").agg(F.count("*").alias("c"))
+    base = base.select("ring", "p", F.coalesce(F.sum("c").over(of_ring.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), F.sum("c").over(of_ring).alias("size"))
+    n = n.withColumn("r", F.row_number().over(Window.partitionBy("ring", "p").orderBy("h", "id")))
+    return cut(n.join(base, ["ring", "p"]).select("id", "ring", (F.col("r") + F.col("before")).alias("rank"), "size"))
+
+
+def _next_free(triples: DataFrame, ring: DataFrame, known: DataFrame) -> DataFrame:
+    """(pos, object): the first node after the object, around its ring, that isn't the subject or a known object.
+
+    triples has the column ring; an object that isn't in the ring starts before its first node.
+    Taken ranks of a subject, predicate and ring are runs without gaps: what follows a run is free.
+    """
+    pair = ["subject", "predicate"]
+    triples, known = (d.withColumns({c: F.coalesce(c, F.lit("\0")) for c in pair}) for d in (triples, known))
+    sizes = ring.select("ring", "size").distinct()
+    t = triples.join(sizes, "ring").join(ring.select("ring", F.col("id").alias("object"), "rank"), ["ring", "object"], "left").withColumn("rank", F.coalesce("rank", F.lit(0)))
+    asked = t.select(*pair, "ring").distinct()
+    taken = known.select(*pair, "object").union(t.select(*pair, "object")).union(t.select(*pair, F.col("subject").alias("object"))).distinct()
+    taken = taken.join(asked, pair).join(ring.select("ring", F.col("id").alias("object"), "rank", "size"), ["ring", "object"]).select(*pair, "ring", "rank", "size")
+    taken = taken.union(t.where("rank = 0").select(*pair, "ring", "rank", "size")).distinct()
+    group = Window.partitionBy(*pair, "ring")
+    runs = taken.withColumn("run", F.col("rank") - F.row_number().over(group.orderBy("rank")))
+    runs = runs.withColumn("end", F.max("rank").over(Window.partitionBy(*pair, "ring", "run")))
+    # a run that reaches the ring's last node goes on with what follows the run of its first node
+    runs = runs.withColumn("first", F.max(F.when(F.col("rank") == 1, F.col("end"))).over(group))
+    after = F.when(F.col("end") < F.col("size"), F.col("end") + 1).when(F.col("first").isNull(), 1).when(F.col("first") < F.col("size"), F.col("first") + 1)
+    free = runs.select(*pair, "ring", "rank", after.alias("after")).where("after is not null")
+    found = t.join(free, [*pair, "ring", "rank"]).join(ring.select("ring", F.col("rank").alias("after"), F.col("id").alias("next"), "size"), ["ring", "after"])
+    return found.groupBy("pos").agg(F.min("next").alias("object"))
+
+
 def true_false(triples: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
     """(pos, object, truth): each triple, and the same with an object of the same type that makes no known triple.
 
-    The false object is the next node of the type in hash order after the true one that isn't a known
-    object; the ring of a type is walked three steps, so no node meets all others of its type.
+    The false object is the next node of the type in hash order after the true one that isn't the
+    subject or a known object, however far it is; where the type has none, or the object no type, the
+    next of all nodes. Only a triple that every node would make true has no false statement.
     """
-    n = nodes.select("id", "type").where("type is not null").distinct().withColumn("h", F.xxhash64("id"))
-    w = Window.partitionBy("type").orderBy("h", "id")
-    ring = n.select("id", F.array(*[F.coalesce(F.lead("id", i).over(w), F.first("id").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))) for i in (1, 2, 3)]).alias("next"))
+    n = nodes.select("id", "type").where("id is not null").distinct()
     t = triples.select("pos", "subject", "predicate", "object").where("object is not null")
-    c = t.join(ring, t["object"] == ring["id"]).select("pos", "subject", "predicate", F.col("object").alias("real"), F.posexplode("next").alias("i", "object")).where("object <> real and object <> subject")
-    free = c.join(known.select("subject", "predicate", "object").distinct(), ["subject", "predicate", "object"], "left_anti")
-    false = free.groupBy("pos").agg(F.min_by("object", "i").alias("object"))
+    known = known.where("object is not null").select("subject", "predicate", "object").distinct()
+    typed = t.join(n.where("type is not null").select(F.col("id").alias("object"), F.col("type").alias("ring")), "object")
+    near = cut(_next_free(typed, _ranked(n.where("type is not null").withColumnRenamed("type", "ring")), known))
+    rest = cut(t.join(near, "pos", "left_anti").withColumn("ring", F.lit("")))
+    false = near if rest.isEmpty() else near.union(_next_free(rest, _ranked(n.withColumn("ring", F.lit(""))), known))
     return t.select("pos", "object", F.lit(True).alias("truth")).union(false.select("pos", "object", F.lit(False)))
 
 

@@ -149,3 +149,21 @@ def test_answers_and_samples(spark):
     assert k[k.status == "included"].groupby("seed").tokens.max().max() <= 9 and set(k.status) <= {"included", "token_budget", "depth_limit"}
     split = spark.range(1000).select(datasets.hash_split(F.col("id").cast("string"), 0.2).alias("s")).groupBy("s").count().collect()
     assert abs({x.s: x["count"] for x in split}["test"] - 200) < 50
+
+
+def test_every_triple_with_a_free_node_has_a_false_statement(spark):
+    nodes = [(f"n{i}", "X") for i in range(12)] + [("y0", "Y"), ("y1", "Y"), ("z", None)]
+    known = [("n0", "p", f"n{i}") for i in range(1, 10)] + [("y0", "q", "y1"), ("n1", "p", "z"), ("n2", "r", "gone")]
+    t = spark.createDataFrame([(i, *x) for i, x in enumerate(known)], "pos int, subject string, predicate string, object string")
+    kind = dict(nodes)
+    got = datasets.true_false(t, spark.createDataFrame(nodes, "id string, type string"), t).collect()
+    assert sorted(x.pos for x in got if x.truth) == list(range(12))
+    false = {x.pos: x.object for x in got if not x.truth}
+    assert len(false) == sum(not x.truth for x in got) == 12
+    for i, o in false.items():
+        s, p, real = known[i]
+        assert o in kind and o not in (s, real) and (s, p, o) not in known
+        assert i > 8 or o in ("n10", "n11")
+    assert kind[false[9]] != "Y"
+    full = spark.createDataFrame([(0, "a", "p", "b")], "pos int, subject string, predicate string, object string")
+    assert datasets.true_false(full, spark.createDataFrame([("a", "X"), ("b", "X")], "id string, type string"), full).count() == 1
