@@ -167,3 +167,23 @@ def test_every_triple_with_a_free_node_has_a_false_statement(spark):
     assert kind[false[9]] != "Y"
     full = spark.createDataFrame([(0, "a", "p", "b")], "pos int, subject string, predicate string, object string")
     assert datasets.true_false(full, spark.createDataFrame([("a", "X"), ("b", "X")], "id string, type string"), full).count() == 1
+
+
+def test_balance_skips_what_does_not_fit(spark, monkeypatch):
+    r = random.Random(5)
+    for case, most in ((0, 60), (1, 400), (2, 5), (3, 60)):
+        sizes = [r.choice((1, 2, 3, 7, 20, most * 4)) for _ in range(150)]
+        sizes[1 - case % 2] = most * 5  # too large: the first row stays alone, a later one is skipped
+        budget = [300, 900, 3, 150][case]
+        want, used = [], 0
+        for i, n in enumerate(sizes):
+            if want and used + n > budget:
+                continue
+            want.append(i)
+            used += n
+            if used >= budget:
+                break
+        df = spark.createDataFrame(list(enumerate(sizes)), "i int, n int")
+        for fold in (100_000, 10):
+            monkeypatch.setattr(chunking, "FOLD", fold)
+            assert sorted(x.i for x in chunking.running_balance(df, "i", "n", budget).collect()) == want
