@@ -123,9 +123,11 @@ def knowledge_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def khop_subgraphs(edges: DataFrame, seeds: int = 100, max_depth: int = 2, max_extra: int = 5, max_tokens: int = 256, mode: str = "max_loss") -> DataFrame:
     """(seed, step, edge, status, depth, tokens): every decision of a bounded expansion around the best-ranked seed edges.
 
-    All seeds advance together, one join a round: the best-ranked edge next to what a seed has is taken
-    if it is near enough and its text fits the budget, else rejected for good. edges(id, source, target,
-    description, loss). seeds and the limits are the sampler's parameters.
+    All seeds advance together, one join a round: the best-ranked edge next to what a seed has that is
+    near enough and whose text fits the budget is taken, the better-ranked ones that aren't are rejected
+    for good, so there are at most max_extra + 1 rounds. What is undecided beside a seed that has max_extra
+    edges is rejected as edge_limit. step counts a seed's decisions. edges(id, source, target, description,
+    loss). seeds and the limits are the sampler's parameters.
     """
     e = edges.select("id", "source", "target", "loss", regex_token_count(F.col("description")).cast("int").alias("n"))
     top = e.orderBy(*edge_rank(mode)).limit(seeds)
@@ -133,16 +135,20 @@ def khop_subgraphs(edges: DataFrame, seeds: int = 100, max_depth: int = 2, max_e
     e = cut(e.withColumn("order", order))
     touch = e.select(F.col("source").alias("node"), "id", "source", "target", "n", "order").union(e.select("target", "id", "source", "target", "n", "order")).distinct()
     done = cut(top.select(F.col("id").alias("seed"), F.lit(0).alias("step"), F.col("id").alias("edge"), F.when(F.col("n") <= max_tokens, "included").otherwise("seed_exceeds_token_budget").alias("status"), F.lit(0).alias("depth"), F.col("n").alias("tokens"), "source", "target"))
-    step = 0
     while True:
-        step += 1
-        used = done.where("status = 'included'").groupBy("seed").agg(F.max("tokens").alias("used"), F.count("*").alias("k")).where(F.col("k") - 1 < max_extra)
-        inside = done.where("status = 'included'").select("seed", F.explode(F.array("source", "target")).alias("node"), "depth").groupBy("seed", "node").agg(F.min("depth").alias("depth"))
-        cand = inside.join(used, "seed").join(touch, "node").groupBy("seed", "used", "id", "source", "target", "n", "order").agg((F.min("depth") + 1).alias("depth"))
-        cand = cand.join(done.select("seed", F.col("edge").alias("id")), ["seed", "id"], "left_anti")
-        best = cand.groupBy("seed").agg(F.min_by(F.struct("id", "source", "target", "n", "depth", "used"), "order").alias("b")).select("seed", "b.*")
+        kept = done.where("status = 'included'")
+        used = kept.groupBy("seed").agg(F.max("tokens").alias("used"), F.count("*").alias("k"))
+        used = used.join(done.groupBy("seed").agg(F.max("step").alias("last")), "seed")
+        inside = kept.select("seed", F.explode(F.array("source", "target")).alias("node"), "depth").groupBy("seed", "node").agg(F.min("depth").alias("depth"))
+        cand = inside.join(used, "seed").join(touch, "node").groupBy("seed", "used", "k", "last", "id", "source", "target", "n", "order").agg((F.min("depth") + 1).alias("depth"))
+        cand = cut(cand.join(done.select("seed", F.col("edge").alias("id")), ["seed", "id"], "left_anti"))
+        open_ = cand.where(F.col("k") - 1 < max_extra)
         status = F.when(F.col("depth") > max_depth, "depth_limit").when(F.col("used") + F.col("n") > max_tokens, "token_budget").otherwise("included")
-        new = cut(best.select("seed", F.lit(step).alias("step"), F.col("id").alias("edge"), status.alias("status"), "depth", F.when(status == "included", F.col("used") + F.col("n")).otherwise(F.col("used")).alias("tokens"), "source", "target"))
-        if new.isEmpty() or step > 50 * (max_extra + 1):
-            return done.select("seed", "step", "edge", "status", "depth", "tokens")
+        open_ = open_.withColumn("status", status).withColumn("best", F.min(F.when(F.col("status") == "included", F.col("order"))).over(Window.partitionBy("seed"))).where("best is null or order <= best")
+        step = (F.col("last") + F.row_number().over(Window.partitionBy("seed").orderBy("order"))).cast("int").alias("step")
+        new = cut(open_.select("seed", step, F.col("id").alias("edge"), "status", "depth", F.when(F.col("status") == "included", F.col("used") + F.col("n")).otherwise(F.col("used")).alias("tokens"), "source", "target"))
+        if new.isEmpty():
+            step = (F.col("last") + F.row_number().over(Window.partitionBy("seed").orderBy("id"))).cast("int").alias("step")
+            limit = cand.select("seed", step, F.col("id").alias("edge"), F.lit("edge_limit").alias("status"), F.lit(max_depth + 1).alias("depth"), F.col("used").alias("tokens"))
+            return done.select("seed", "step", "edge", "status", "depth", "tokens").union(limit)
         done = cut(done.union(new))

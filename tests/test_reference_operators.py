@@ -187,3 +187,11 @@ def test_balance_skips_what_does_not_fit(spark, monkeypatch):
         for fold in (100_000, 10):
             monkeypatch.setattr(chunking, "FOLD", fold)
             assert sorted(x.i for x in chunking.running_balance(df, "i", "n", budget).collect()) == want
+
+
+def test_khop_decides_every_edge_beside_a_hub(spark):
+    rows = [("e0", "a", "hub", "w", 9.0)] + [(f"f{i:03d}", "hub", f"x{i}", "w " * 20, 8.0) for i in range(350)] + [(f"g{i}", "hub", f"y{i}", "w", 1.0) for i in range(4)]
+    e = spark.createDataFrame(rows, "id string, source string, target string, description string, loss double")
+    k = datasets.khop_subgraphs(e, seeds=1, max_depth=2, max_extra=2, max_tokens=9).toPandas().sort_values("step")
+    assert k.edge[k.status == "included"].tolist() == ["e0", "g0", "g1"] and k.edge[k.status == "edge_limit"].tolist() == ["g2", "g3"]
+    assert (k.status == "token_budget").sum() == 350 and k.step.tolist() == list(range(355))
