@@ -1,8 +1,10 @@
 import itertools
 import random
 
+import numpy as np
+
 from millrace.functions.fold import words
-from millrace.operators.neardup import group_pairs, near_duplicates
+from millrace.operators.neardup import ENOUGH, LEVELS, _keys, group_pairs, near_duplicates
 
 SCHEMA = "pos bigint, content string, doc_id string, group string, class string, row string"
 
@@ -84,3 +86,16 @@ def test_over_256_texts_on_one_template_match_brute_force(spark):
     sets = [_sets(t, 3) for t in texts]
     want = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if 2 * len(sets[i] & sets[j]) >= len(sets[i] | sets[j])}
     assert len(want) > 50_000 and got <= want and len(got) >= 0.999 * len(want)
+
+
+def test_few_pairs_at_the_threshold_are_missed_at_any_size():
+    r = np.random.default_rng(6)
+    weight = {level - 1: w for level, _, _, w in LEVELS}
+    for n, m in [(n, n) for n in (8, 12, 20, 31, 32, 33, 34, 36, 40, 50, 63, 64, 80, 128)] + [(16, 32), (18, 36), (31, 32), (40, 80)]:
+        missed = 0
+        for _ in range(300):
+            both = -(-(n + m) // 3)
+            v = r.integers(0, 1 << 63, n + m - both, dtype=np.uint64)
+            a, b = (_keys(np.sort(x)[:128], len(x)) for x in (v[:n], v[n - both :]))
+            missed += sum(weight[int(k) & 3] for k in np.intersect1d(a, b)) < ENOUGH
+        assert missed <= 9, (n, m, missed)
