@@ -5,7 +5,7 @@
 2. equal forms are one row from here on, so a name that fills a third of all rows is compared once;
 3. forms meet in blocks. A block is what remains of a form without one token, refined with the suffix,
    prefix or initial of the left-out token (other fields first: suffixes alone are overly common).
-   Blocks that stay large are split by one more letter of every remaining field, never dropped;
+   Every pair of a block is compared, however large the block is;
 4. pairs of a block are compared token by token by the longest-common-subsequence ratio. Tokens that
    occur with many others are established words: two different ones are never taken for a slip;
 5. links and a node's own forms give components. An initial, or a name without accents, joins a
@@ -66,7 +66,6 @@ EITHER = {"kate": ("katherine", "catherine"), "kay": ("katherine", "catherine"),
 # The label sets of extractors, brought to one letter.
 KINDS = {"person": "P", "per": "P", "organization": "O", "org": "O", "organisation": "O", "location": "L", "loc": "L", "gpe": "L", "work": "W", "work_of_art": "W", "concept": "C", "product": "R", "event": "E"}
 _TOKEN = re.compile(r"[^\W_]+")
-BLOCK = 64
 
 
 def bare(text: str) -> str:
@@ -252,10 +251,7 @@ def name_variants(entities: DataFrame, node: str = "node_id", name: str = "name"
     forms = cut(forms.join(common, "form", "left").withColumn("common", F.coalesce("common", F.array().cast("array<string>"))))
     keys = cut(forms.select("form", "kind", "tokens", "joined", "common").mapInArrow(_keys, "form long, key string").select("form", F.xxhash64("key").alias("key")).distinct())
     size = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = keys.join(size, "key").join(forms.select("form", "tokens"), "form")
-    # a block that stays large is split by the letters its tokens begin with, one of them left out at a time
-    finer = F.when(F.col("n") <= BLOCK, F.array(F.lit(""))).otherwise(F.expr("transform(sequence(1, size(split(tokens, ' '))), i -> array_join(transform(filter(split(tokens, ' '), (t, j) -> j <> i - 1), t -> substring(t, 1, 2)), ' '))"))
-    blocks = cut(blocks.select("form", "key", F.explode(F.array_distinct(finer)).alias("fine")).select("form", F.xxhash64("key", "fine").alias("key")).distinct())
+    blocks = cut(keys.join(size.select("key"), "key").select("form", "key"))
     pairs = blocks.select(F.col("form").alias("a"), "key").join(blocks.select(F.col("form").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
     side = lambda c: forms.select(F.col("form").alias(c), F.col("tokens").alias(f"t{c}"), F.col("common").alias(f"c{c}"), F.col("joined").alias(f"j{c}"), F.col("kind").alias(f"k{c}"))
     judged = cut(pairs.join(side("a"), "a").join(side("b"), "b").where("ka = kb or ka = '' or kb = ''").select("a", "b", "ta", "tb", "ca", "cb", "ja", "jb").mapInArrow(_judge(least), "a long, b long, said int"))

@@ -1,3 +1,5 @@
+import random
+
 from millrace.operators.names import compare, form, lcs_ratio, name_variants
 
 SCHEMA = "node_id string, name string, label string, mentions array<string>, node string, root string, form string"
@@ -47,3 +49,11 @@ def test_comparison():
 def test_one_name_on_a_third_of_all_rows(spark):
     rows = [(f"n{i}", "Patricia Gefarbohul" if i < 300 else f"Zo{i}mun Bi{i * 7919}kor", "PER", None) for i in range(900)]
     assert max(map(len, groups(spark, rows))) == 300
+
+
+def test_a_block_of_over_64_forms_loses_no_pair(spark):
+    r = random.Random(7)
+    fill = [(f"f{i}", "Wetherby Gefarbohul Tezo" + "".join(r.choice("bcfghjklpqsuvwxy") for _ in range(6)), "PER", None) for i in range(100)]
+    rows = [("a", "Wetherby Gefarbohul Tezomandir", "PER", None), ("b", "Wetherby Q. Gefarbohul Tezomandr", "PER", None)]
+    found = lambda rs: [sorted(n for n in g if n in "ab") for g in groups(spark, rs) if set(g) & set("ab")]
+    assert found(rows + fill) == found(rows) == [["a", "b"]]
