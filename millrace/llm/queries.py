@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.crosssplit import cross_split, overlap_pairs, overlap_report
 from millrace.llm.garbled import damaged_tokens, restored_pages
 from millrace.llm.leak import leaked_passages
 from millrace.llm.mix import mix
+from millrace.llm.names import name_variants
+from millrace.llm.neardup import group_pairs, near_duplicates
 from millrace.llm.pairs import defective_pairs
 from millrace.llm.quality import quality_profiles
+from millrace.llm.splits import grouped_splits, related_groups, tied_items
 from millrace.llm.visual import look_alikes, visual_forms
 from millrace.session import table
 
@@ -91,8 +95,68 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_pages(docs, "doc_id", "text").select(F.col("page").alias("doc_id"), "restored", "unrestored")
 
 
-QUERIES = {"p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored}
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of source records in one near-duplicate group."""
+    docs = table(spark, sf_dir, "source_documents").select("pos", "content", "doc_id")
+    _, members = near_duplicates(docs, "content", "pos", words=3, threshold=0.5)
+    return group_pairs(members, docs, "pos", "doc_id").select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source record with its near-duplicate group and the group's size."""
+    docs = table(spark, sf_dir, "source_documents").select("pos", "content", "doc_id")
+    _, members = near_duplicates(docs, "content", "pos", words=3, threshold=0.5)
+    size = members.groupBy("group").agg(F.count("*").alias("records"), F.countDistinct("class").alias("texts"))
+    return members.join(size, "group").select(F.col("row").alias("pos"), F.col("group").alias("group_id"), "records", "texts")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of nodes that stand for one thing."""
+    nodes = name_variants(table(spark, sf_dir, "entities")).select("node", "root").distinct()
+    big = nodes.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    nodes = nodes.join(big, "root", "left_semi")
+    return nodes.select("root", F.col("node").alias("node_id_a")).join(nodes.select("root", F.col("node").alias("node_id_b")), "root").where("node_id_a < node_id_b").select("node_id_a", "node_id_b").distinct()
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items tied to another one by provenance, with the smallest item of their group."""
+    items = table(spark, sf_dir, "qa_items").select("item_id", "_group_id", "source")
+    return tied_items(related_groups(items, "item_id", ["_group_id", "source"])).select(F.col("item").alias("item_id"), F.col("root").alias("group_item_id"))
+
+
+def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item with its group and the split the whole group goes to."""
+    items = table(spark, sf_dir, "qa_items").select("item_id", "_group_id", "source", "type")
+    shares = {r["split"]: r["share"] for r in table(spark, sf_dir, "split_targets").collect()}
+    return grouped_splits(items, "item_id", ["_group_id", "source"], "type", shares).select(F.col("item").alias("item_id"), F.col("root").alias("group_item_id"), "split")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a training and an evaluation item that ask the same with the same answer."""
+    items = table(spark, sf_dir, "qa_items").select("item_id", "question", "answer", "split")
+    pairs = overlap_pairs(*cross_split(items, "item_id", "question", "answer", "split"))
+    return pairs.select(F.least("train_item", "eval_item").alias("item_id_a"), F.greatest("train_item", "eval_item").alias("item_id_b")).distinct()
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaked evaluation items per split and source."""
+    items = table(spark, sf_dir, "qa_items")
+    links, members = cross_split(items, "item_id", "question", "answer", "split")
+    return overlap_report(links, members, items, "item_id", "split", "source")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_groups": p1_groups, "p5_found": p5_found, "p6_found": p6_found, "p6_splits": p6_splits, "p7_found": p7_found, "p7_report": p7_report,
+    "p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored,
+}
 SQL: dict[str, str] = {
+    "p6_found": """
+WITH RECURSIVE item AS (
+  SELECT DISTINCT item_id, lower(nullif(trim(_group_id), '')) AS g, lower(nullif(trim(source), '')) AS s FROM qa_items),
+keyed AS (SELECT item_id, 'g' || g AS k FROM item WHERE g IS NOT NULL UNION SELECT item_id, 's' || s FROM item WHERE s IS NOT NULL),
+link AS (SELECT DISTINCT a.item_id AS a, b.item_id AS b FROM keyed a JOIN keyed b ON a.k = b.k),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT a AS item_id, min(b) AS group_item_id FROM reach GROUP BY a HAVING count(DISTINCT b) > 1""",
     "p4_profiles": r"""
 WITH doc AS (SELECT DISTINCT doc_id, content FROM source_documents WHERE content IS NOT NULL),
 line AS (SELECT doc_id, content, list_filter(list_transform(string_split_regex(regexp_replace(content, '\r\n?|[\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]', chr(10), 'g'), '\n'), lambda x: regexp_replace(x, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')), lambda x: x <> '') AS l FROM doc),
