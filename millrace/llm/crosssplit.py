@@ -1,8 +1,8 @@
 """Same or near-same question-answer records across splits: an edit-distance segment join.
 
 Questions are compared as read, without lead-ins and with interchangeable question words brought to
-one; answers must be equal as read. An evaluation question is cut into segments of Q characters.
-At most K edits destroy at most K of any K+1 segments, so its K+1 segments that occur least often in
+one (tables of both are parameters); answers must be equal as read. An evaluation question is cut into
+segments of Q characters, one below 2 Q into two halves. At most K edits destroy at most K of any K+1 segments, so its K+1 segments that occur least often in
 training questions (with the same answer) are enough: each is matched against the training substrings
 at positions shifted by at most K, and candidates are verified by banded dynamic programming.
 """
@@ -10,7 +10,7 @@ at positions shifted by at most K, and candidates are verified by banded dynamic
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -20,28 +20,37 @@ from millrace.functions.fold import as_read, words
 from millrace.session import cut
 
 Q, K = 5, 3
+#: A slip of a word is seen at most this often: a few times by itself, and in this share of the word's questions.
+SLIPS, SLIP_SHARE = 3, 0.05
 # Phrases before a question that don't change what is asked.
 LEAD_INS = ("please tell me", "could you tell me", "can you tell me", "tell me", "please", "question", "quick one", "quick question", "câu hỏi", "cho biết", "xin cho biết", "hãy cho biết", "xin hỏi", "cho hỏi", "xin vui lòng")
 # Question words and particles that stand for one another.
 SAME = {"what": "which", "gì": "nào", "mấy": "bao nhiêu", "đã": "", "vậy": "", "thế": "", "ạ": "", "please": "", "hãy": "", "tới": "đến", "bằng": "trong"}
 # The same for phrases.
 PHRASES = (("most closely", "closest"), ("recorded first", "first recorded"))
-_LEAD = re.compile(r"^(?:(?:" + "|".join(sorted(LEAD_INS, key=len, reverse=True)) + r")\s+)+(?=\S)")
 
 
-def asked(question: str | None) -> str:
-    """A question as compared."""
-    text = _LEAD.sub("", " ".join(words(question)))
-    for old, new in PHRASES:
-        text = text.replace(old, new)
-    return " ".join(x for w in text.split(" ") if (x := SAME.get(w, w)))
+def asking(lead_ins: Iterable[str] = LEAD_INS, same: dict[str, str] = SAME, phrases: Iterable[tuple[str, str]] = PHRASES) -> Callable[[str | None], str]:
+    """A function that brings questions to the form in which they are compared."""
+    lead = re.compile(r"^(?:(?:" + "|".join([*map(re.escape, sorted(lead_ins, key=len, reverse=True)), r"(?!)"]) + r")\s+)+(?=\S)")
 
+    def asked(question: str | None) -> str:
+        text = lead.sub("", " ".join(words(question)))
+        for old, new in phrases:
+            text = text.replace(old, new)
+        return " ".join(x for w in text.split(" ") if (x := same.get(w, w)))
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        q = [asked(x) for x in batch.column(2).to_pylist()]
-        a = [as_read(x) for x in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(q, pa.string()), pa.array(a, pa.string())], names=["item", "train", "q", "a"])
+    return asked
+
+
+def _read(asked: Callable[[str | None], str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = [asked(x) for x in batch.column(2).to_pylist()]
+            a = [as_read(x) for x in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(q, pa.string()), pa.array(a, pa.string())], names=["item", "train", "q", "a"])
+
+    return run
 
 
 def banded(a: str, b: str, k: int) -> int:
@@ -101,35 +110,42 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["e", "t", "edits", "changes"])
 
 
-def cross_split(records: DataFrame, item: str, question: str, answer: str, split: str, train: str = "train", established: int = 10) -> tuple[DataFrame, DataFrame]:
+def cross_split(records: DataFrame, item: str, question: str, answer: str, split: str, train: str = "train", asked: Callable[[str | None], str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, members) between evaluation and training records.
 
     members(item, train, text): records by distinct question and answer; links(e, t, edits): texts e of
     evaluation and t of training that ask the same; copies aren't expanded into pairs. Records without
     a question as read, and those with null item or split, are left out. A null, blank or equal answer
-    as read is the same answer. A question of n segments allows min(K, n - 1) edits, and equality
-    always counts. Two different words that both occur in at least `established` distinct questions
-    aren't slips of each other. Repeated rows count once; empty tables give empty results.
+    as read is the same answer. A question of n segments allows min(K, n - 1) edits, one of fewer than
+    2 Q characters one, and equality always counts. Two different words aren't slips of each other when
+    the rarer one occurs in more than SLIPS questions and a share SLIP_SHARE of the other's. Repeated
+    rows count once; empty tables give empty results. asked brings questions to the form compared.
     """
     rows = records.select(F.col(item).cast("long").alias("item"), (F.col(split) == train).alias("train"), F.col(question).cast("string").alias("q"), F.col(answer).cast("string").alias("a")).where("item is not null and train is not null")
-    read = rows.mapInArrow(_read, "item long, train boolean, q string, a string").where("q <> ''")
+    read = rows.mapInArrow(_read(asked or asking()), "item long, train boolean, q string, a string").where("q <> ''")
     read = cut(read.select("item", "train", "q", F.xxhash64("a").alias("akey"), F.xxhash64("q", "a").alias("text")).distinct())
     texts = read.groupBy("text", "train").agg(F.first("q").alias("q"), F.first("akey").alias("akey"))
     evals, trains = texts.where("not train").drop("train"), texts.where("train").drop("train")
-    cuts = evals.withColumn("n", F.floor(F.length("q") / Q).cast("int")).where("n > 1")
-    cuts = cuts.select("text", "akey", "n", F.length("q").alias("len"), F.explode(F.expr(f"transform(sequence(0, n - 1), i -> struct(i * {Q} as pos, substring(q, i * {Q} + 1, {Q}) as part))")).alias("s")).select("text", "n", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
-    grams = trains.where(f"length(q) >= {Q}").select("text", F.length("q").alias("len"), "akey", F.explode(F.expr(f"transform(sequence(0, length(q) - {Q}), i -> struct(i as pos, substring(q, i + 1, {Q}) as part))")).alias("s")).select("text", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
+    # short questions are cut in halves; short training questions give substrings of every such length
+    short = 2 * Q
+    cuts = evals.where("length(q) > 1").withColumn("len", F.length("q")).withColumn("size", F.expr(f"if(len < {short}, len div 2, {Q})")).withColumn("n", F.expr("len div size"))
+    cuts = cuts.select("text", "akey", "len", F.expr(f"if(len < {short}, 1, least({K}, n - 1))").alias("k"), F.explode(F.expr("transform(sequence(0, n - 1), i -> struct(i * size as pos, substring(q, i * size + 1, size) as part))")).alias("s")).select("text", "k", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
+    sizes = F.expr(f"if(length(q) <= {short}, sequence(1, least({Q}, length(q))), array({Q}))")
+    grams = trains.withColumn("len", F.length("q")).select("text", "q", "len", "akey", F.explode(sizes).alias("size")).where("len >= size")
+    grams = grams.select("text", "len", "akey", F.explode(F.expr("transform(sequence(0, len - size), i -> struct(i as pos, substring(q, i + 1, size) as part))")).alias("s")).select("text", "len", "s.pos", F.xxhash64("akey", "s.part").alias("key"))
     wanted = cuts.select("key").distinct()
     grams = cut(grams.join(wanted, "key", "left_semi"))
     often = grams.groupBy("key").agg(F.count("*").alias("often"))
     rank = Window.partitionBy("text").orderBy(F.coalesce("often", F.lit(0)), "pos")
-    chosen = cuts.join(often, "key", "left").withColumn("r", F.row_number().over(rank)).where(f"r <= {K + 1} and often is not null")
-    near = chosen.select(F.col("text").alias("e"), F.least(F.lit(K), F.col("n") - 1).alias("k"), F.col("len").alias("elen"), F.col("pos").alias("epos"), "key").join(grams.select(F.col("text").alias("t"), F.col("len").alias("tlen"), F.col("pos").alias("tpos"), "key"), "key").where("abs(epos - tpos) <= k and abs(elen - tlen) <= k and e <> t").select("e", "t", "k").distinct()
+    chosen = cuts.join(often, "key", "left").withColumn("r", F.row_number().over(rank)).where("r <= k + 1 and often is not null")
+    near = chosen.select(F.col("text").alias("e"), "k", F.col("len").alias("elen"), F.col("pos").alias("epos"), "key").join(grams.select(F.col("text").alias("t"), F.col("len").alias("tlen"), F.col("pos").alias("tpos"), "key"), "key").where("abs(epos - tpos) <= k and abs(elen - tlen) <= k and e <> t").select("e", "t", "k").distinct()
     found = near.join(evals.select(F.col("text").alias("e"), F.col("q").alias("x")), "e").join(trains.select(F.col("text").alias("t"), F.col("q").alias("y")), "t").select("e", "t", "x", "y", "k")
     found = cut(found.mapInArrow(_verify, "e long, t long, edits int, changes array<struct<x string, y string>>"))
-    known = texts.select("text", F.explode(F.array_distinct(F.split("q", " "))).alias("word")).groupBy("word").agg(F.approx_count_distinct("text").alias("n")).where(f"n >= {established}").select("word")
     change = found.select("e", "t", F.explode("changes").alias("c")).select("e", "t", "c.x", "c.y")
-    false = change.join(known.select(F.col("word").alias("x")), "x", "left_semi").join(known.select(F.col("word").alias("y")), "y", "left_semi").select("e", "t").distinct()
+    asked_words = change.select(F.explode(F.array("x", "y")).alias("word")).distinct()
+    known = cut(texts.select("text", "q").distinct().select(F.explode(F.array_distinct(F.split("q", " "))).alias("word")).join(asked_words, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")))
+    both = change.join(known.select(F.col("word").alias("x"), F.col("n").alias("nx")), "x").join(known.select(F.col("word").alias("y"), F.col("n").alias("ny")), "y")
+    false = both.where(f"least(nx, ny) > {SLIPS} + {SLIP_SHARE} * greatest(nx, ny)").select("e", "t").distinct()
     same = evals.select("text").join(trains.select("text"), "text").select(F.col("text").alias("e"), F.col("text").alias("t"), F.lit(0).alias("edits"))
     links = same.union(found.join(false, ["e", "t"], "left_anti").select("e", "t", "edits"))
     return cut(links), read.select("item", "train", "text").distinct()

@@ -26,7 +26,7 @@ def test_banded_distance(a, b, k):
 
 def pairs(spark, rows):
     df = spark.createDataFrame([(*r, "s", "x", "y") for r in rows], SCHEMA)
-    return {(r.train_item, r.eval_item) for r in overlap_pairs(*cross_split(df, "item_id", "question", "answer", "split", established=1000)).collect()}
+    return {(r.train_item, r.eval_item) for r in overlap_pairs(*cross_split(df, "item_id", "question", "answer", "split")).collect()}
 
 
 def test_small_changes_count_other_subjects_do_not(spark):
@@ -65,3 +65,16 @@ def test_report(spark):
 def test_word_changes():
     assert word_changes("a cat sat", "a cta sat") == [("cat", "cta")]
     assert word_changes("in 1923", "in 1928") is None and word_changes("ab cd", "abcd") == []
+
+
+def test_short_questions_have_near_matches(spark):
+    rows = [(1, "Who is X?", "a", "train"), (2, "Whp is X?", "a", "test"), (3, "Who is Y?", "a", "test"), (4, "Wh is X", "a", "test"), (5, "ab", "b", "train"), (6, "a", "b", "test"), (7, "ax", "b", "test")]
+    assert pairs(spark, rows) == {(1, 2), (1, 4), (5, 7)}
+
+
+def test_common_words_are_no_slips_of_each_other_at_any_size(spark):
+    for n in (5, 80):
+        rows = [(i, f"Which merchant sold copper wire in {'abcdefghij'[i % 10]}{i:x} harbour", "x", "train") for i in range(n)]
+        rows += [(1000 + i, f"Which merchant sold copper wine in z{i:x} harbour", "y", "train") for i in range(n)]
+        rows += [(2000, "Which merchant sold copper wine in a0 harbour", "x", "test"), (2001, "Which mercant sold copper wire in a0 harbour", "x", "test")]
+        assert pairs(spark, rows) == {(0, 2001)}, n
