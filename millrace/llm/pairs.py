@@ -10,7 +10,7 @@ how often they stand inside one.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -93,26 +93,25 @@ def in_order(a: list[str], b: list[str]) -> int:
 def copied(question: str, answer: str) -> bool:
     """Whether compression with the question as dictionary leaves nothing of the answer."""
     q, a = words(question), words(answer)
-    if len(a) < 2 or not q:
+    if len(a) < 2 or not q or 4 * len(a) < 3 * len(q):
         return False
     body = " ".join(a).encode()
     known = " ".join(q).encode()
-    plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False)
     helped = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(known, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
     small = len(helped.compress(body))
-    if small > 0.5 * min(len(body), len(plain.compress(body))) + 12 or 4 * len(a) < 3 * len(q):
+    if small > 0.5 * min(len(body), len(zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False).compress(body))) + 12:
         return False
     fresh = [w for w in a if w not in set(q)]
     return 10 * in_order(q, a) >= 9 * len(q) and len(fresh) <= max(2, len(a) // 8) and not any(any(c.isdigit() for c in w) for w in fresh)
 
 
-def first_defect(question: str | None, answer: str | None) -> str | None:
+def first_defect(question: str | None, answer: str | None, placeholders: Collection[str] = PLACEHOLDERS, refuse: re.Pattern = _REFUSE) -> str | None:
     """empty, refusal, copied_question or wrong_language, in this order, or None."""
     a = words(answer)
     text = " ".join(a)
-    if not a or text in PLACEHOLDERS:
+    if not a or text in placeholders:
         return "empty"
-    if _REFUSE.search(text):
+    if refuse.search(text):
         return "refusal"
     if question and copied(question, answer):
         return "copied_question"
@@ -133,40 +132,49 @@ def _context(tokens: list[str]) -> list[str]:
     return ["#" if any(c.isdigit() for c in t) else t for t in tokens]
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for item, q, a in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            defect = first_defect(q, a)
-            end = fold(a).strip()
-            w = _context(words(a))
-            ended = bool(_END.search(end)) and not end.endswith("...")
-            rows.append((item, defect, ended, bool(_BROKEN.search(end)), w if defect is None else []))
-        kinds = (pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=["item", "defect", "ended", "broken", "w"])
+def _read(placeholders: Collection[str], refuse: re.Pattern):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, q, a in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                defect = first_defect(q, a, placeholders, refuse)
+                end = fold(a).strip()
+                w = _context(words(a))
+                ended = bool(_END.search(end)) and not end.endswith("...")
+                rows.append((item, defect, ended, bool(_BROKEN.search(end)), w if defect is None else [], " ".join(words(q))))
+            kinds = (pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=["item", "defect", "ended", "broken", "w", "asked"])
 
+    return run
 
-def defective_pairs(pairs: DataFrame, item: str, question: str, answer: str, least: float = 0.25, seen: int = 8) -> DataFrame:
+
+def defective_pairs(pairs: DataFrame, item: str, question: str, answer: str, least: float = 0.25, weight: int = 8, whole: float = 0.5, placeholders: Collection[str] = PLACEHOLDERS, refusals: Collection[str] = REFUSALS) -> DataFrame:
     """(item, defect): one row for each distinct item with a defective pair.
 
     A null, blank, wordless or placeholder answer is empty, whatever the question. A null or blank
     question has no language and nothing to copy. An answer without closing punctuation breaks off
     when it ends in an opening or joining sign, or when its last two words end less than `least` of
-    the answers they occur in (the last word before a rare one decides where they occur fewer than
-    `seen` times); answers of one or two words and those that occur as a whole elsewhere never do.
-    Null items are dropped; repeated rows count once; texts are read whole; extra columns are ignored.
+    the answers they occur in; the share is smoothed with that of the last but one word, which counts
+    like `weight` occurrences. Answers of one or two words never break off in this way, nor those of up
+    to five that answer several questions and are as a whole at least `whole` of all answers that begin
+    with them. Null items are dropped; repeated rows count once; texts are read whole; extra columns
+    are ignored. placeholders (as read) and refusals (regular expressions) may be given.
     """
     slim = pairs.select(F.col(item).cast("long").alias("item"), F.col(question).cast("string").alias("q"), F.col(answer).cast("string").alias("a")).where("item is not null").distinct()
-    read = cut(slim.mapInArrow(_read, "item long, defect string, ended boolean, broken boolean, w array<string>"))
-    whole = read.where("size(w) > 0")
-    # contexts: two words in a row, and one word with whatever follows
-    at = whole.select("ended", F.size("w").alias("n"), F.posexplode("w").alias("i", "word"), "w").select("ended", "n", "i", F.when(F.col("i") > 0, F.concat(F.element_at("w", F.col("i")), F.lit(" "), F.col("word"))).alias("two"), F.when(F.col("i") > 0, F.element_at("w", F.col("i"))).alias("before"))
-    is_end = (F.col("i") == F.col("n") - 1) & F.col("ended")
-    model = lambda c: at.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("k")).agg(F.count("*").alias(f"n_{c}"), F.sum(is_end.cast("long")).alias(f"e_{c}"))
-    open_rows = whole.where("not ended").select("item", "broken", F.size("w").alias("n"), F.array_join("w", " ").alias("text"), F.expr("if(size(w) > 1, concat(w[size(w) - 2], ' ', w[size(w) - 1]), null)").alias("two"), F.expr("if(size(w) > 1, w[size(w) - 2], null)").alias("before"))
-    alike = open_rows.groupBy("text").agg(F.countDistinct("item").alias("alike"))
-    judged = open_rows.join(alike, "text").join(model("two"), F.col("two") == F.col("k"), "left").drop("k").join(model("before"), F.col("before") == F.col("k"), "left").drop("k")
-    p = F.when(F.col("n_two") >= seen, F.col("e_two") / F.col("n_two")).otherwise(F.coalesce(F.col("e_before") / F.col("n_before"), F.lit(0.0)))
-    broken = judged.where(F.col("broken") | ((F.col("n") > 2) & (p < least) & ((F.col("alike") < 3) | (F.col("n") > 5)))).select("item", F.lit("truncated").alias("defect"))
+    refuse = re.compile(r"(?:^|\b)(?:" + "|".join([*refusals, r"(?!)"]) + ")")
+    read = cut(slim.mapInArrow(_read(frozenset(placeholders), refuse), "item long, defect string, ended boolean, broken boolean, w array<string>, asked string"))
+    said = read.where("size(w) > 0")
+    # contexts: two words in a row, and one word with whatever follows; made before they're exploded, so no row carries a text
+    at = said.where("size(w) > 1").select(F.explode(F.expr("transform(sequence(1, size(w) - 1), i -> struct(concat(w[i - 1], ' ', w[i]) as two, w[i - 1] as before, ended and i = size(w) - 1 as end))")).alias("x")).select("x.*")
+    pair = at.groupBy("two").agg(F.first("before").alias("before"), F.count("*").alias("n_two"), F.sum(F.col("end").cast("long")).alias("e_two"))
+    pair = cut(pair)
+    one = pair.groupBy("before").agg(F.sum("n_two").alias("n_before"), F.sum("e_two").alias("e_before"))
+    open_rows = said.where("not ended").select("item", "broken", "asked", F.size("w").alias("n"), F.array_join("w", " ").alias("text"), F.expr("if(size(w) > 1, concat(w[size(w) - 2], ' ', w[size(w) - 1]), null)").alias("two"), F.expr("if(size(w) > 1, w[size(w) - 2], null)").alias("before"))
+    few = open_rows.where("n between 3 and 5").groupBy("text").agg(F.countDistinct("asked").alias("alike"))
+    begin = said.where("size(w) > 2").select("asked", F.explode(F.expr("transform(sequence(3, least(5, size(w))), k -> array_join(slice(w, 1, k), ' '))")).alias("text")).join(few.select("text"), "text", "left_semi").groupBy("text").agg(F.countDistinct("asked").alias("begin"))
+    known = few.join(begin, "text").where(f"alike > 2 and alike >= {whole} * begin").select("text", F.lit(True).alias("known"))
+    judged = open_rows.join(known, "text", "left").join(pair.drop("before"), "two", "left").join(one, "before", "left")
+    p = (F.coalesce("e_two", F.lit(0)) + weight * F.coalesce(F.col("e_before") / F.col("n_before"), F.lit(0.0))) / (F.coalesce("n_two", F.lit(0)) + weight)
+    broken = judged.where(F.col("broken") | ((F.col("n") > 2) & (p < least) & F.col("known").isNull())).select("item", F.lit("truncated").alias("defect"))
     named = read.where("defect is not null").select("item", "defect")
     return named.union(broken).distinct()
