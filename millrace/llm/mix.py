@@ -29,12 +29,11 @@ BUCKET, FAN_IN = 50_000, 64
 _EPS = 1e-9
 
 
-def _count(path: str):
+def _count(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.value.splitlines())}
         enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
             sizes = [len(enc.encode_ordinary(t)) if t else 0 for t in batch.column(2).to_pylist()]
@@ -46,10 +45,14 @@ def _count(path: str):
 def token_sizes(docs: DataFrame, key: str, source: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """(id, source, tokens): tokens of each whole text (0 for a null one), sources trimmed and in lower case.
 
-    Null and blank sources are null; rows keep their number, repeated ids included.
+    Null and blank sources are null; rows keep their number, repeated ids included; a null id is made of
+    the text. The vocabulary file, of fixed size, is read by the driver and sent along.
     """
+    with open(tokenizer, "rb") as f:
+        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
+    own = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null-"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))))
     name = F.nullif(F.lower(F.regexp_replace(F.col(source).cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")), F.lit(""))
-    return docs.select(F.col(key).cast("string").alias("id"), name.alias("source"), F.col(text).cast("string").alias("text")).mapInArrow(_count(tokenizer), "id string, source string, tokens long")
+    return docs.select(own.alias("id"), name.alias("source"), F.col(text).cast("string").alias("text")).mapInArrow(_count(vocabulary), "id string, source string, tokens long")
 
 
 def pivotal(units: list[tuple[str, float]], seed: int) -> tuple[dict[str, int], tuple[str, float] | None]:
@@ -96,10 +99,10 @@ def mix(docs: DataFrame, targets: DataFrame, key: str, source: str, text: str, t
     below the target. targets(source, target_share, max_repeats) is a fixed small table; a target
     listed twice counts once (its largest share), null names, shares and caps are left out, as are docs of other sources (their size
     still counts towards the mix). Records are told apart by id: rows with an equal id are one record
-    of their summed size, null ids are numbered by content. Empty tables: no copies, sources of size 0.
+    of their summed size, as are rows with null ids and equal texts. Empty tables: no copies, sources of size 0.
     """
     sizes = token_sizes(docs, key, source, text, tokenizer)
-    sizes = cut(sizes.withColumn("id", F.coalesce("id", F.concat(F.lit("null-"), F.xxhash64("source", "tokens").cast("string")))).groupBy("id", "source").agg(F.sum("tokens").alias("tokens")))
+    sizes = cut(sizes.groupBy("id", "source").agg(F.sum("tokens").alias("tokens")))
     goal = targets.select(F.nullif(F.lower(F.trim(F.col("source"))), F.lit("")).alias("source"), "target_share", "max_repeats").where("source is not null and target_share is not null and max_repeats is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     total = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     have = sizes.groupBy("source").agg(F.count("*").alias("records"), F.sum("tokens").alias("tokens"))

@@ -272,8 +272,10 @@ def near_duplicates(docs: DataFrame, text: str, row: str, words: int = 5, thresh
     empty table gives empty results. A text of fewer than `words` words has one run. Texts are read
     whole. Candidates are found with high probability: at a similarity of 0.5 at most 1 % of pairs of equal
     size and 2.2 % of pairs whose sizes differ by a factor two are missed (README, Known limits).
+    Raises below a threshold of 0.5: the ranges of sizes that meet overlap by a factor of two.
     """
-    spark = docs.sparkSession
+    if threshold < 0.5:
+        raise ValueError("threshold must be at least 0.5")
     slim = docs.select(F.col(row).cast("long").alias("row"), F.col(text).cast("string").alias("text")).where("row is not null and text is not null")
     buckets = max(12, ceil(docs.count() / 4000))
     lists = cut(slim.mapInArrow(_pack(words, k, buckets), "bucket int, blob binary").groupBy("bucket").applyInArrow(_lists, "a long, b long, w int, sketch binary"))

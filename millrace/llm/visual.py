@@ -24,9 +24,11 @@ from millrace.session import cut
 #: Characters that stand for themselves: ASCII, composed Latin letters but look-alikes, quotes, common scripts without case of their own.
 STABLE = r"\x{21}-\x{7e} \n\x{a1}-\x{a7}\x{a9}-\x{ac}\x{ae}\x{b0}\x{b1}\x{b6}\x{b7}\x{bb}-\x{cf}\x{d1}-\x{ef}\x{f1}-\x{130}\x{134}-\x{13e}\x{141}-\x{148}\x{14a}-\x{17e}\x{18f}-\x{1c3}\x{1cd}-\x{1f0}\x{1f4}-\x{24f}\x{1e00}-\x{1e99}\x{1e9e}-\x{1eff}\x{2018}-\x{201f}\x{2020}-\x{2022}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{3400}-\x{9fff}\x{ac00}-\x{d7a3}"
 #: Marks and characters without a glyph, which belong to the character before.
-MARKS = r"\p{M}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}\x{ffa0}\x{fff9}-\x{fffb}"
+MARKS = r"\p{M}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180e}\x{200b}-\x{200f}\x{202a}-\x{202e}\x{2060}-\x{206f}\x{fe00}-\x{fe0f}\x{feff}\x{ffa0}\x{fff9}-\x{fffb}\x{e0001}\x{e0020}-\x{e007f}"
 CLUSTER = f"[^{STABLE}][{MARKS}]*|[{STABLE}][{MARKS}]+"
-_HIDDEN = (0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0x180B, 0x180F), *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF, 0xFFA0, *range(0xFFF9, 0xFFFC))
+_HIDDEN = (0xAD, 0x34F, 0x61C, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0x180B, 0x180F), *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF, 0xFFA0, *range(0xFFF9, 0xFFFC), 0xE0001, *range(0xE0020, 0xE0080), *range(0xE0100, 0xE01F0))
+#: Code points with properties of their own: all planes that hold letters, and the tags and selectors of plane 14.
+_POINTS = (*range(0x32000), *range(0xE0000, 0xE0200))
 _BLANKS = (0x09, 0x0B, 0x0C, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)
 _HYPHENS = (*range(0x2010, 0x2016), 0x2043, 0x2212, 0xFE58, 0xFE63, 0xFF0D, 0x1806, 0x2E3A)
 #: Compatibility forms that look like what they stand for; raised, circled or stacked ones don't.
@@ -43,7 +45,7 @@ def _class(java: str) -> str:
 
 def _mark_ranges() -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for n in range(0x20000):
+    for n in _POINTS:
         if unicodedata.category(chr(n))[0] == "M":
             if out and out[-1][1] == n - 1:
                 out[-1][1] = n
@@ -80,19 +82,19 @@ def _parts(c: str) -> str:
 
 
 def mapping() -> list[tuple[str, list[str]]]:
-    """(character, code points) of every character up to U+1FFFF that changes; Hangul syllables, composed and stable, are left out."""
-    return [(chr(n), list(p)) for n in range(0x20000) if not 0xD800 <= n < 0xE000 and not 0xAC00 <= n < 0xD7A4 and (p := _parts(chr(n))) != chr(n)]
+    """(character, code points) of every character that changes; Hangul syllables, composed and stable, are left out."""
+    return [(chr(n), list(p)) for n in _POINTS if not 0xD800 <= n < 0xE000 and not 0xAC00 <= n < 0xD7A4 and (p := _parts(chr(n))) != chr(n)]
 
 
 def classes() -> list[tuple[str, int]]:
     """(mark, order): combining class, vowel signs before tone signs of the same class."""
-    return [(chr(n), 2 * unicodedata.combining(chr(n)) + (n not in (0x302, 0x306, 0x31B))) for n in range(0x20000) if unicodedata.combining(chr(n))]
+    return [(chr(n), 2 * unicodedata.combining(chr(n)) + (n not in (0x302, 0x306, 0x31B))) for n in _POINTS if unicodedata.combining(chr(n))]
 
 
 def composites() -> dict[str, str]:
     """Pairs of code points and the letter they make up."""
     out = {}
-    for n in range(0x20000):
+    for n in _POINTS:
         d = unicodedata.decomposition(chr(n))
         if d and d[0] != "<" and " " in d and len(unicodedata.normalize("NFC", chr(n))) == 1 and unicodedata.normalize("NFC", chr(n)) == chr(n):
             out["".join(chr(int(x, 16)) for x in d.split(" "))] = chr(n)
@@ -113,7 +115,7 @@ def cluster_forms(spark: SparkSession, clusters: DataFrame) -> DataFrame:
     each = marks.groupBy("cluster", "starter").agg(F.transform(F.sort_array(F.collect_list(F.struct("class", "at", "part"))), lambda x: x["part"]).alias("parts"))
     pairs = F.from_json(F.lit(json.dumps(composites())), "map<string,string>")
     # recompose: each mark joins the letter so far if the pair has a composite, else it stays behind
-    fold = F.aggregate(F.slice("parts", 2, 100_000), F.struct(F.col("parts")[0].alias("base"), F.lit("").alias("rest")), lambda a, m: F.when(F.element_at(pairs, F.concat(a["base"], m)).isNotNull() & (a["rest"] == ""), F.struct(F.element_at(pairs, F.concat(a["base"], m)).alias("base"), a["rest"].alias("rest"))).otherwise(F.struct(a["base"].alias("base"), F.concat(a["rest"], m).alias("rest"))), lambda a: F.concat(a["base"], a["rest"]))
+    fold = F.aggregate(F.slice("parts", F.lit(2), F.size("parts")), F.struct(F.col("parts")[0].alias("base"), F.lit("").alias("rest")), lambda a, m: F.when(F.element_at(pairs, F.concat(a["base"], m)).isNotNull() & (a["rest"] == ""), F.struct(F.element_at(pairs, F.concat(a["base"], m)).alias("base"), a["rest"].alias("rest"))).otherwise(F.struct(a["base"].alias("base"), F.concat(a["rest"], m).alias("rest"))), lambda a: F.concat(a["base"], a["rest"]))
     letters = each.select("cluster", "starter", fold.alias("form"))
     whole = letters.groupBy("cluster").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("starter", "form"))), lambda x: x["form"]), "").alias("form"))
     return clusters.join(whole, "cluster", "left").select("cluster", F.coalesce("form", F.lit("")).alias("form"))

@@ -55,3 +55,8 @@ def test_parts():
 @pytest.mark.parametrize("text", CLEAN)
 def test_rare_but_right_text_has_no_sure_damage(text):
     assert not any(sure for w in text.split() for _, _, sure in Channels().read(w))
+
+
+def test_a_word_that_occurs_once_fills_lost_bytes(spark):
+    df = spark.createDataFrame(corpus(["Ông kể chuyện khuỷu tay.", "Ông kể chuyện khu���u tay."]), SCHEMA)
+    assert {r.page: r.restored for r in restored_pages(df, "doc_id", "text").collect()} == {1001: "Ông kể chuyện khuỷu tay."}

@@ -41,3 +41,10 @@ def test_shares_caps_and_repeats(spark):
 def test_empty(spark):
     copies, report = mix(spark.createDataFrame([], DOCS), spark.createDataFrame([("a", 1.0, 1)], TARGETS), "doc_id", "source", "text")
     assert copies.count() == 0 and [(x.source, x.short) for x in report.collect()] == [("a", False)]
+
+
+def test_null_ids_are_told_apart_by_text(spark):
+    from millrace.llm.mix import token_sizes
+
+    df = spark.createDataFrame([(None, "s", "one two"), (None, "s", "two one"), (None, "s", "two one"), (None, "s", None)], "id bigint, source string, text string")
+    assert token_sizes(df, "id", "source", "text").select("id").distinct().count() == 3

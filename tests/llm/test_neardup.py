@@ -99,3 +99,10 @@ def test_few_pairs_at_the_threshold_are_missed_at_any_size():
             a, b = (_keys(np.sort(x)[:128], len(x)) for x in (v[:n], v[n - both :]))
             missed += sum(weight[int(k) & 3] for k in np.intersect1d(a, b)) < ENOUGH
         assert missed <= 9, (n, m, missed)
+
+
+def test_a_threshold_below_one_half_is_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        near_duplicates(spark.createDataFrame([], SCHEMA), "content", "pos", threshold=0.4)

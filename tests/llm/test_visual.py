@@ -44,3 +44,9 @@ def test_edges(spark):
     assert ("d", "h", "i") in {(x.kind, x.key_a, x.key_b) for x in look_alikes(rows(spark, data), "record_kind", "key", "text").collect()}
     assert look_alikes(rows(spark, []), "record_kind", "key", "text").count() == 0
     assert visual_forms(rows(spark, [("d", "a", None), ("d", "b", "")]), "text").select("form").collect() == [(None,), ("",)]
+
+
+def test_characters_of_all_planes_and_many_marks(spark):
+    rows = [("d", "a", "\U0002f800 x"), ("d", "b", "丽 x"), ("d", "c", "e" + "́" * 100_500 + "̖ y"), ("d", "e", "é̖ y"), ("d", "f", "z\U000e0041z"), ("d", "g", "zz")]
+    got = {(r.key_a, r.key_b) for r in look_alikes(spark.createDataFrame(rows, "kind string, key string, text string"), "kind", "key", "text").collect()}
+    assert got == {("a", "b"), ("c", "e"), ("f", "g")}
