@@ -274,7 +274,7 @@ def damaged_tokens(pages: DataFrame, page: str, text: str) -> DataFrame:
     fit no word of the corpus. page must be a unique BIGINT; null pages and null or blank texts are
     left out; texts are read whole; extra columns are ignored; an empty table gives none.
     Frequencies are of words with letters beyond ASCII, over all pages (others hold none); lost bytes are
-    filled with any such Vietnamese word that fits, the most frequent first.
+    filled with any such word of Latin letters that fits, the most frequent first.
     """
     slim = pages.select(F.col(page).cast("long").alias("page"), F.col(text).cast("string").alias("text")).where("page is not null and text is not null")
     # one pass over the pages: what tokens may have been, and how often each word occurs, counted per batch
@@ -295,7 +295,7 @@ def damaged_tokens(pages: DataFrame, page: str, text: str) -> DataFrame:
     gone = F.expr("length(pattern) - length(replace(pattern, '.', ''))")
     holes = holes.withColumn("gone", gone).withColumn("kept", F.expr("(length(pattern) - gone) div 2"))
     holes = holes.withColumn("bytes", F.explode(F.expr("sequence(kept + gone, 2 * kept + 3 * gone)"))).drop("gone", "kept")
-    mold = words.where(F.col("w").rlike(f"^[a-z{LETTERS}]+$")).select("w", "n", F.regexp_replace("w", "[^\\x00-\\x7f]+", "*").alias("skeleton"), F.octet_length("w").alias("bytes"))
+    mold = words.where(F.col("w").rlike("^[a-z\\u00df-\\u00f6\\u00f8-\\u024f\\u1e00-\\u1eff]+$")).select("w", "n", F.regexp_replace("w", "[^\\x00-\\x7f]+", "*").alias("skeleton"), F.octet_length("w").alias("bytes"))
     filled = holes.join(mold, ["skeleton", "bytes"]).select("token", "pattern", "w", "channel", "n").mapInArrow(_fill, "token string, pattern string, w string, channel string, n long")
     filled = filled.groupBy("token", "channel").agg(F.max_by("w", F.struct("n", "w")).alias("text"), F.max("n").alias("n")).select("token", "channel", "text", log(F.col("n"), 0.5).alias("score"))
     options = scored.union(filled)
