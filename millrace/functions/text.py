@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: One blank, as a regular expression that Java and RE2 read alike.
@@ -235,3 +235,40 @@ def provenance(metadata: Column) -> Column:
 def edge_id(*parts: Column) -> Column:
     """Twenty hexadecimal digits of the parts joined by U+001F; null parts count as empty."""
     return F.substring(F.sha2(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256), 1, 20)
+
+
+def clean_vietnamese(c: Column) -> Column:
+    """clean_english, then composed with repeated marks dropped."""
+    from millrace.functions.unicode import unicode_repair
+
+    return unicode_repair(clean_english(c))
+
+
+def clean_batch(docs: DataFrame, text: str, language: str = "en") -> DataFrame:
+    """The documents with a text, in its clean form for a language; null and blank ones are dropped before any work."""
+    clean = clean_vietnamese if language == "vi" else clean_english
+    return docs.where(F.col(text).rlike(NOT_WS)).withColumn(text, clean(F.col(text)))
+
+
+def sentence_spans(c: Column) -> Column:
+    """array<struct<start,end>>: half-open character spans of sentences, cut at blanks after . ! ? …; blanks between aren't in any span."""
+    marked = F.regexp_replace(c, f"(?<=[.!?…])({WS}+)", "\x01$1\x01")
+    parts = F.split(marked, "\x01")
+    # every second part is a gap; positions are running sums of lengths
+    at = F.aggregate(parts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("i"), F.array().cast("array<struct<start:int,end:int>>").alias("out")), lambda a, p: F.struct((a["n"] + F.length(p)).cast("int").alias("n"), (a["i"] + 1).alias("i"), F.when((a["i"] % 2 == 0) & (p != ""), F.concat(a["out"], F.array(F.struct(a["n"].alias("start"), (a["n"] + F.length(p)).cast("int").alias("end"))))).otherwise(a["out"]).alias("out")), lambda a: a["out"])
+    return F.when(c.isNotNull(), at)
+
+
+def routed(url: Column, routes: dict[str, Column], default: Column) -> Column:
+    """The value of the first route whose host is the url's host or above it, else the default: site-specific extractors beside a general one."""
+    host = F.lower(F.regexp_replace(F.parse_url(url, F.lit("HOST")), r"^www\.", ""))
+    out = default
+    for site, value in reversed(routes.items()):
+        out = F.when((host == site) | host.endswith("." + site), value).otherwise(out)
+    return out
+
+
+def label_mask(prompt_tokens: Column, answer_tokens: Column, most: int) -> Column:
+    """Token labels of a training pair cut at `most` tokens: -100 for the prompt, the answer's own; null where no answer token is left."""
+    labels = F.slice(F.concat(F.transform(prompt_tokens, lambda t: F.lit(-100).cast("int")), answer_tokens), 1, most)
+    return F.when(F.exists(labels, lambda x: x != -100), labels)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import regex_token_count
+from millrace.functions.text import regex_token_count, strip
 from millrace.operators.graph import STRUCTURAL
 from millrace.session import cut
 
@@ -152,3 +152,120 @@ def khop_subgraphs(edges: DataFrame, seeds: int = 100, max_depth: int = 2, max_e
             limit = cand.select("seed", step, F.col("id").alias("edge"), F.lit("edge_limit").alias("status"), F.lit(max_depth + 1).alias("depth"), F.col("used").alias("tokens"))
             return done.select("seed", "step", "edge", "status", "depth", "tokens").union(limit)
         done = cut(done.union(new))
+
+
+def simple_paths(edges: DataFrame, starts: DataFrame, hops: int = 3, per_start: int = 20) -> DataFrame:
+    """(start, nodes, predicates, chunks): the first per_start simple directed paths of 1 to `hops` edges from each of starts(id), depth first by ids.
+
+    edges(subject, object, predicates, source_chunk_ids); structural predicates don't count, an edge of
+    only such ones isn't walked, and the first other predicate names a step. The first paths of a start
+    only use the first per_start paths of each length, and of each node its first per_start + hops
+    successors, so no join sees more than that of a hub; nothing among the first paths is lost.
+    """
+    domain = F.filter("predicates", lambda p: ~F.upper(p).isin(*STRUCTURAL))
+    none = F.array().cast("array<string>")
+    e = edges.where("subject <> object").select(F.col("subject").alias("s"), F.col("object").alias("o"), F.get(domain, F.lit(0)).alias("p"), F.coalesce("source_chunk_ids", none).alias("c")).where("p is not null")
+    e = e.withColumn("k", F.row_number().over(Window.partitionBy("s").orderBy("o"))).where(f"k <= {per_start + hops}").drop("k")
+    first = Window.partitionBy("start").orderBy("nodes")
+    front = starts.select(F.col("id").alias("start"), F.array("id").alias("nodes"), none.alias("predicates"), none.alias("chunks")).distinct()
+    out = None
+    for _ in range(hops):
+        step = front.join(e, F.element_at("nodes", -1) == F.col("s")).where("not array_contains(nodes, o)")
+        front = step.select("start", F.concat("nodes", F.array("o")).alias("nodes"), F.concat("predicates", F.array("p")).alias("predicates"), F.array_union("chunks", "c").alias("chunks"))
+        front = cut(front.withColumn("r", F.row_number().over(first)).where(f"r <= {per_start}").drop("r"))
+        out = front if out is None else out.union(front)
+    return out.withColumn("r", F.row_number().over(first)).where(f"r <= {per_start}").drop("r")
+
+
+def multi_hop(edges: DataFrame, names: DataFrame, starts: DataFrame, hops: int = 3, per_start: int = 20, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """(start, nodes, hops, question, answer, path, group_id): questions over simple paths of 2 to `hops` edges.
+
+    A start has at most per_start paths, those of one edge counted, in depth-first order of ids (a
+    sampler's parameter). Paths whose chunks fall on both sides of hash_split are dropped; the group is
+    the first chunk, or the path where there is none.
+    """
+    p = simple_paths(edges, starts, hops, per_start).where("size(nodes) > 2")
+    sides = F.array_distinct(F.transform("chunks", lambda c: hash_split(F.concat(F.lit("source:"), c), share, seed)))
+    p = p.where(F.size(sides) < 2)
+    long = p.select("start", "nodes", F.posexplode("nodes").alias("i", "id")).join(names.select("id", "name"), "id", "left").groupBy("start", "nodes").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("name", "id").alias("name")))), lambda x: x["name"]).alias("labels"))
+    p = p.join(long, ["start", "nodes"])
+    said = F.transform("predicates", lambda x: F.translate(x, "_", " "))
+    steps = F.transform(F.sequence(F.lit(0), F.size("predicates") - 1), lambda i: F.concat_ws(" ", F.get("labels", i), F.translate(F.get("predicates", i), "_", " "), F.get("labels", i + 1)))
+    question = F.concat(F.lit("Starting from "), F.get("labels", F.lit(0)), F.lit(" and following "), F.array_join(said, " → "), F.lit(", what is reached?"))
+    group = F.coalesce(F.concat(F.lit("source:"), F.get(F.array_sort("chunks"), F.lit(0))), F.concat(F.lit("path:"), F.array_join("nodes", "|")))
+    return p.select("start", F.array_join("nodes", "|").alias("nodes"), F.size("predicates").alias("hops"), question.alias("question"), F.element_at("labels", -1).alias("answer"), F.array_join(steps, " → ").alias("path"), group.alias("group_id"))
+
+
+def sft_samples(triples: DataFrame, edges: DataFrame, starts: DataFrame, n: int = 100, shares: tuple[float, float, float] = (0.3, 0.4, 0.3), seed: int = 42) -> DataFrame:
+    """(hops, sample): up to n samples of 1, 2 and 3 triples in the given shares, in seeded hash order; sample is `s|p|o` joined by `;`.
+
+    One-edge samples come from triples(subject, predicate, object), longer ones from simple paths out of starts.
+    """
+    one = triples.where("object is not null").select(F.lit(1).alias("hops"), F.concat_ws("|", "subject", "predicate", "object").alias("sample")).distinct()
+    p = simple_paths(edges, starts, 3).where("size(predicates) > 1")
+    joined = F.array_join(F.transform(F.sequence(F.lit(0), F.size("predicates") - 1), lambda i: F.concat_ws("|", F.get("nodes", i), F.get("predicates", i), F.get("nodes", i + 1))), ";")
+    all_ = one.union(p.select(F.size("predicates"), joined))
+    first, second = int(n * shares[0]), int(n * shares[1])
+    want = F.when(F.col("hops") == 1, first).when(F.col("hops") == 2, second).otherwise(n - first - second)
+    w = Window.partitionBy("hops").orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), "sample"), 256), "sample")
+    return all_.withColumn("r", F.row_number().over(w)).where(F.col("r") <= want).select("hops", "sample")
+
+
+def grouped_sides(items: DataFrame, group: str, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """(group, side): hash_split over groups, with at least one group on each side where there are two or more."""
+    g = items.select(F.col(group).alias("g")).where("g is not null").distinct()
+    g = g.select("g", F.sha2(F.concat(F.lit(f"{seed}:"), "g"), 256).alias("h"), hash_split(F.col("g"), share, seed).alias("side"))
+    ends = g.agg(F.count("*").alias("n"), F.count(F.when(F.col("side") == "test", 1)).alias("t"), F.max_by("g", F.struct("h", "g")).alias("last"), F.min_by("g", F.struct("h", "g")).alias("first"))
+    side = F.when((F.col("n") > 1) & (F.col("t") == 0) & (F.col("g") == F.col("last")), "test").when((F.col("n") > 1) & (F.col("t") == F.col("n")) & (F.col("g") == F.col("first")), "train").when(F.col("n") < 2, "train").otherwise(F.col("side"))
+    return g.join(F.broadcast(ends)).select(F.col("g").alias(group), side.alias("side"))
+
+
+def validate_questions(answers: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, reason): why a generated question isn't valid, null where it is.
+
+    answers(id, subgraph, question, answer, used array<string>), edges(subgraph, id, source, target): a
+    question needs text and answer, two distinct edges of its subgraph, and each edge must touch the next.
+    """
+    empty = F.array().cast("array<string>")
+    a = answers.select("id", "subgraph", F.coalesce(F.trim("question"), F.lit("")).alias("q"), F.coalesce(F.trim("answer"), F.lit("")).alias("a"), F.col("used").isNull().alias("no_list"), F.coalesce("used", empty).alias("used"))
+    e = edges.select("subgraph", F.col("id").alias("edge"), F.array("source", "target").alias("ends")).distinct()
+    u = a.select("id", "subgraph", F.posexplode("used").alias("i", "edge")).join(e, ["subgraph", "edge"], "left")
+    w = Window.partitionBy("id").orderBy("i")
+    u = u.withColumn("before", F.lag("ends").over(w)).groupBy("id").agg(F.count(F.when(F.col("ends").isNull(), 1)).alias("unknown"), F.countDistinct("edge").alias("n"), F.count(F.when((F.col("i") > 0) & ~F.arrays_overlap("ends", "before"), 1)).alias("apart"))
+    r = a.join(u, "id", "left").na.fill(0, ["unknown", "n", "apart"])
+    reason = F.when((F.col("q") == "") | (F.col("a") == ""), "missing_question_or_answer").when(F.col("no_list"), "used_edge_ids_must_be_a_list").when(F.col("n") < 2, "question_does_not_use_two_edges").when(F.col("unknown") > 0, "unknown_used_edge_id").when(F.col("apart") > 0, "used_edges_do_not_form_an_ordered_path")
+    return r.select("id", reason.alias("reason"))
+
+
+# Facts a sentence may state, and the question that asks for the second part.
+RAW_FACTS = (
+    (r"(.+?)\s+(?:was\s+)?born\s+in\s+(.+?)(?:,|\.|$)", "Where was {0} born?"), (r"(.+?)\s+(?:worked|works)\s+(?:at|for|in)\s+(.+?)(?:,|\.|$)", "Where did {0} work?"),
+    (r"(.+?)\s+(?:studied|studies)\s+(?:at|in)\s+(.+?)(?:,|\.|$)", "Where did {0} study?"), (r"(.+?)\s+(?:died|dies)\s+in\s+(.+?)(?:,|\.|$)", "Where did {0} die?"),
+    (r"(.+?)\s+(?:discovered|invented|created|developed)\s+(.+?)(?:,|\.|$)", "What did {0} discover?"),
+)
+# Words that stand for a name.
+RAW_PRONOUNS = ("he", "she", "his", "her", "they", "their", "it", "its", "this", "that")
+
+
+def raw_questions(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, i, type, question, answer): questions out of English sentences of 20 characters or more, without a graph.
+
+    Per sentence: what the subject of "X is Y" is, how each of the first three names is related to up to
+    three later ones, the facts of RAW_FACTS, and what a sentence of up to 600 characters states about its first name.
+    """
+    s = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.posexplode(F.transform(F.split(text, r"(?<=[.!?])\s+"), strip)).alias("i", "s")).where("length(s) >= 20")
+    n = F.filter(F.regexp_extract_all("s", F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b"), 1), lambda x: ~F.lower(x).isin(*RAW_PRONOUNS))
+    s = s.withColumn("n", n)
+    row = lambda kind, q, a: F.struct(F.lit(kind).alias("type"), q.alias("question"), a.alias("answer"))
+    copula = r"(?i)^(.+?)\s+(is|was|are|were)\s+(a|an|the)?\s*(.+)"
+    subject, rest = strip(F.regexp_extract("s", copula, 1)), F.regexp_replace(strip(F.regexp_extract("s", copula, 4)), r"\.+$", "")
+    out = [F.when(F.col("s").rlike(copula) & (F.size("n") > 0), F.array(row("definition", F.concat(F.lit("What is "), subject, F.lit("?")), rest)))]
+    pairs = F.flatten(F.transform(F.slice("n", 1, 3), lambda a, i: F.transform(F.filter(F.slice("n", i + 2, 3), lambda b: b != a), lambda b: row("relationship", F.concat(F.lit("How are "), a, F.lit(" and "), b, F.lit(" related?")), F.col("s")))))
+    out.append(F.when(F.size("n") > 1, pairs))
+    for rx, ask in RAW_FACTS:
+        who, what = strip(F.regexp_extract("s", f"(?i){rx}", 1)), F.regexp_replace(strip(F.regexp_extract("s", f"(?i){rx}", 2)), r"\.+$", "")
+        before, after = ask.split("{0}")
+        out.append(F.when(F.col("s").rlike(f"(?i){rx}") & ~F.lower(who).isin(*RAW_PRONOUNS), F.array(row("factual", F.concat(F.lit(before), who, F.lit(after)), what))))
+    out.append(F.when((F.size("n") > 0) & (F.length("s") <= 600), F.array(row("source_grounded", F.concat(F.lit("According to the source, what is stated about "), F.get("n", F.lit(0)), F.lit("?")), F.col("s")))))
+    none = F.array().cast("array<struct<type:string,question:string,answer:string>>")
+    return s.select("k", "i", F.explode(F.concat(*[F.coalesce(o, none) for o in out])).alias("q")).select(F.col("k").alias(key), "i", "q.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -64,6 +64,131 @@ def near_dup_clusters(docs: DataFrame, key: str, text: str, threshold: float = 0
     return out.join(size, "component").select(F.col("id").alias(key), "component", "size")
 
 
+def assign_clusters(records: DataFrame, matches: DataFrame, key: str = "record_id", quality: str = "quality") -> DataFrame:
+    """(record_id, cluster_id, canonical_id, is_duplicate, method, similarity, matched_record_id) from pairwise evidence.
+
+    matches(a, b, similarity, method) link record ids. The best quality, then the smallest id as a string,
+    is canonical; a cluster of several is named after its smallest id; the evidence of a record is its
+    strongest match, ties by method and then the matched id. Records without a match stand alone.
+    """
+    m = matches.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "similarity", "method").where("a <> b")
+    m = cut(m.groupBy("a", "b").agg(F.max_by(F.struct("similarity", "method"), F.struct("similarity", F.col("method"))).alias("r")).select("a", "b", "r.*"))
+    parts = connected_components(m)
+    r = records.select(F.col(key).cast("string").alias("id"), F.coalesce(F.col(quality).cast("double"), F.lit(0.0)).alias("q")).join(parts, F.col("id") == F.col("node"), "left").select("id", "q", F.coalesce("root", "id").alias("root"))
+    g = r.groupBy("root").agg(F.min_by("id", F.struct((-F.col("q")).alias("q"), "id")).alias("canonical_id"), F.min("id").alias("least"), F.count("*").alias("n"))
+    each = m.select("a", "b", "similarity", "method").union(m.select("b", "a", "similarity", "method"))
+    best = each.groupBy(F.col("a").alias("id")).agg(F.min_by(F.struct("method", "similarity", F.col("b").alias("matched")), F.struct((-F.col("similarity")).alias("s"), "method", "b")).alias("e"))
+    out = r.join(g, "root").join(best, "id", "left")
+    several = F.col("n") > 1
+    return out.select(F.col("id").alias("record_id"), F.when(several, F.concat(F.lit("dup-"), "least")).alias("cluster_id"), "canonical_id", (several & (F.col("id") != F.col("canonical_id"))).alias("is_duplicate"), "e.method", "e.similarity", F.col("e.matched").alias("matched_record_id"))
+
+
+def near_matches(docs: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5) -> DataFrame:
+    """(a, b, similarity, method): exact copies as a star around their smallest key, near-duplicates between smallest keys."""
+    sets = cut(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.sha2(text, 256).alias("c"), F.array_sort(F.transform(word_shingles(F.col(text), n), lambda x: F.xxhash64(x))).alias("s")))
+    star = lambda c, m: sets.join(sets.groupBy(F.col(c).alias("_c")).agg(F.min("id").alias("least")), F.col(c) == F.col("_c")).where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"), F.lit(m).alias("method"))
+    sets = sets.withColumn("h", F.xxhash64("s"))
+    same = star("c", "exact_sha256")
+    alike = star("h", "minhash_jaccard").join(same.select("b"), "b", "left_anti").select("a", "b", "similarity", "method")
+    return same.union(alike).union(set_pairs(sets, "id", "s", threshold).select("a", "b", "similarity", F.lit("minhash_jaccard")))
+
+
+def minhash_dedup(docs: DataFrame, pos: str, text: str, threshold: float = 0.8) -> DataFrame:
+    """(id): rows dropped as near-duplicates; of a cluster the row whose position is smallest as a string stays."""
+    done = assign_clusters(docs.select(F.col(pos).alias("record_id"), F.lit(0.0).alias("quality")), near_matches(docs, pos, text, threshold))
+    kind = dict(docs.dtypes)[pos]
+    return done.where("is_duplicate").select(F.col("record_id").cast(kind).alias("id"))
+
+
+def semantic_dedup(vectors: DataFrame, pos: str, vector: str, threshold: float = 0.92) -> DataFrame:
+    """(id): rows dropped because they are linked by cosine similarity; the position smallest as a string stays. Exact, not capped."""
+    pairs = cosine_pairs(vectors, pos, vector, threshold).withColumn("method", F.lit("semantic_cosine"))
+    done = assign_clusters(vectors.select(F.col(pos).alias("record_id"), F.lit(0.0).alias("quality")), pairs)
+    return done.where("is_duplicate").select(F.col("record_id").cast(dict(vectors.dtypes)[pos]).alias("id"))
+
+
+def deduplicate(docs: DataFrame, method: str, pos: str = "pos", text: str = "content", vector: str | None = None, threshold: float = 0.8, semantic_threshold: float = 0.92) -> DataFrame:
+    """The rows of docs that a method keeps: none, exact, minhash, simhash, ngram, semantic or layered (minhash, then semantic over what is left).
+
+    pos must be unique; semantic methods need the column `vector`. Another method raises.
+    """
+    if not 0 <= threshold <= 1:
+        raise ValueError("threshold must be in [0, 1]")
+    if method in ("semantic", "layered") and vector is None:
+        raise ValueError(f"{method} needs vectors")
+    distance = 2 if threshold >= 0.95 else 3 if threshold >= 0.85 else 4 if threshold >= 0.75 else 6
+    without = lambda d, gone: d.join(gone.select(F.col("id").alias(pos)), pos, "left_anti").select(*d.columns)
+    if method == "none":
+        return docs
+    if method == "exact":
+        return exact_dedup(docs, text, F.col(pos))
+    if method == "simhash":
+        return without(docs, simhash_dedup(docs, pos, text, distance))
+    if method == "ngram":
+        return without(docs, ngram_dedup(docs, pos, text, threshold))
+    if method == "semantic":
+        return without(docs, semantic_dedup(docs, pos, vector, semantic_threshold))
+    if method in ("minhash", "layered"):
+        left = without(docs, minhash_dedup(docs, pos, text, threshold))
+        return left if method == "minhash" else without(left, semantic_dedup(cut(left), pos, vector, semantic_threshold))
+    raise ValueError(f"unknown method {method!r}: none, exact, minhash, simhash, ngram, semantic, layered")
+
+
+def semantic_review(vectors: DataFrame, key: str, vector: str, threshold: float = 0.92, top: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(matches, flags): pairs among each record's `top` nearest of at least threshold, once each, and every matched record's strongest one.
+
+    Nothing is dropped: matches(record_id, matched_record_id, similarity), flags(record_id, matched_record_id,
+    similarity, flag). `top` is the review's own limit; ties go to the smaller id.
+    """
+    p = cosine_pairs(vectors, key, vector, threshold)
+    both = p.select("a", "b", "similarity").union(p.select("b", "a", "similarity"))
+    near = both.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))).where(f"r <= {top}")
+    matches = cut(near.select(F.least("a", "b").alias("record_id"), F.greatest("a", "b").alias("matched_record_id"), "similarity").distinct())
+    ends = matches.select("record_id", F.col("matched_record_id").alias("m"), "similarity").union(matches.select("matched_record_id", "record_id", "similarity"))
+    flags = ends.groupBy("record_id").agg(F.min_by(F.struct(F.col("m").alias("matched_record_id"), "similarity"), F.struct((-F.col("similarity")).alias("s"), "m")).alias("e")).select("record_id", "e.*", F.lit("semantic_duplicate_candidate").alias("flag"))
+    return matches, flags
+
+
+def embed(records: DataFrame, key: str, text: str, tokens: str, encode: Callable[[list[str]], Sequence[Sequence[float]]], budget: int = 8192, rows: int = 32, known: DataFrame | None = None) -> DataFrame:
+    """(key, content_hash, embedding) of records, longest first in batches of at most `rows` rows and `budget` tokens.
+
+    A batch that the encoder refuses for memory is halved until a single row fails. known(key,
+    content_hash, embedding) are vectors of an earlier run; only other records are encoded.
+    """
+    r = records.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.sha2(text, 256).alias("content_hash"), F.col(text).alias("text"), F.coalesce(F.col(tokens), F.lit(0)).cast("int").alias("tokens"))
+    kind = dict(r.dtypes)["key"]
+    have = None if known is None else known.select(F.col(key).alias("key"), "content_hash", F.col("embedding").cast("array<float>").alias("embedding")).join(r.select("key", "content_hash"), ["key", "content_hash"], "left_semi")
+    if have is not None:
+        r = r.join(have.select("key", "content_hash"), ["key", "content_hash"], "left_anti")
+
+    def encoded(texts: list[str]) -> list:
+        try:
+            return [list(map(float, v)) for v in encode(texts)]
+        except (MemoryError, RuntimeError) as e:
+            if len(texts) < 2 or not (isinstance(e, MemoryError) or "memory" in str(e).lower()):
+                raise
+            half = len(texts) // 2
+            return encoded(texts[:half]) + encoded(texts[half:])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b = b.sort_values(["tokens", "key"], ascending=[False, True], kind="stable")
+            vectors: list = []
+            held: list[str] = []
+            most = 0
+            for t, n in zip(b["text"], b["tokens"]):
+                most = max(most, n)
+                if held and (len(held) >= rows or most * (len(held) + 1) > budget):
+                    vectors += encoded(held)
+                    held, most = [], n
+                held.append(t)
+            vectors += encoded(held) if held else []
+            yield pd.DataFrame({"key": b["key"], "content_hash": b["content_hash"], "embedding": vectors})
+
+    new = r.select("key", "content_hash", "text", "tokens").mapInPandas(run, f"key {kind}, content_hash string, embedding array<float>")
+    return (new if have is None else have.unionByName(new)).withColumnRenamed("key", key)
+
+
 def _simhash_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
@@ -167,10 +292,18 @@ def cosine_pairs(vectors: DataFrame, key: str, vector: str, threshold: float, qu
     all_ = cut(blocked.drop("q").groupBy("b").applyInArrow(pack, "b long, ids array<long>, m binary"))
     some = all_ if queries is None else blocked.where("q").drop("q").groupBy("b").applyInArrow(pack, "b long, ids array<long>, m binary")
     # blocks meet through an explicit list of block numbers: an equi-join, one task a pair of blocks
-    left = some.select(F.col("ids").alias("qa"), F.col("m").alias("qv"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("to"))
+    first = F.lit(0).cast("long") if queries is not None else F.col("b")
+    left = some.select(F.col("ids").alias("qa"), F.col("m").alias("qv"), F.explode(F.sequence(first, F.lit(parts - 1).cast("long"))).alias("to"))
     met = left.join(all_.select(F.col("b").alias("to"), F.col("ids").alias("ba"), F.col("m").alias("bv")), "to").select("qa", "qv", "ba", "bv")
     out = met.mapInArrow(_blocks(threshold), "a long, b long, similarity double")
-    return out.where("a < b" if queries is None else "a <> b")
+    if queries is not None:
+        return out.where("a <> b")
+    # every pair of blocks meets once; within a block both orders come out
+    return out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
+# Starts of lines that are page furniture as soon as two pages have them.
+STARTS = ("Bộ ", "Tỉnh ", "Thành phố ", "Tập đoàn ", "Tổng công ty ", "Tổng Công ty ", "Công ty TNHH ", "Trung tâm ", "Đoạn ", "Phó Thủ tướng ", "Thủ tướng ", "Lĩnh vực ")
 
 
 def line_frequency(pages: DataFrame, key: str, text: str) -> DataFrame:
@@ -180,7 +313,7 @@ def line_frequency(pages: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def drop_frequent_lines(pages: DataFrame, key: str, text: str, share: float = 0.33) -> DataFrame:
-    """(key, text, content_hash, n): pages without lines that stand on max(2, share of all) pages.
+    """(key, text, content_hash, n): pages without lines that stand on max(2, share of all) pages, or on two with a known start.
 
     Fewer than three pages stay as they are. The frequent lines are joined, so their number may grow.
     """
@@ -188,7 +321,7 @@ def drop_frequent_lines(pages: DataFrame, key: str, text: str, share: float = 0.
     n = p.count()
     if n < 3:
         return p.select(F.col("k").alias(key), F.col("t").alias("text"), F.sha2("t", 256).alias("content_hash"), F.length("t").alias("n"))
-    often = line_frequency(p, "k", "t").where(F.col("pages") >= max(2, int(n * share))).select(F.col("line").alias("l"))
+    often = line_frequency(p, "k", "t").where((F.col("pages") >= max(2, int(n * share))) | ((F.col("pages") > 1) & F.col("line").rlike("^(?:" + "|".join(STARTS) + ")"))).select(F.col("line").alias("l"))
     x = p.select("k", F.posexplode(F.split("t", "\n")).alias("i", "line")).withColumn("l", F.trim("line"))
     left = x.join(often, "l", "left_anti").groupBy("k").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda r: r["line"]), "\n").alias("text"))
     out = p.select("k").join(left, "k", "left").select(F.col("k").alias(key), F.coalesce("text", F.lit("")).alias("text"))

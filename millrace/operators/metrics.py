@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import kg_name, strip, words
+from millrace.functions.text import char_ngrams, kg_name, strip, words
 from millrace.operators.graph import degrees, reachable, weak_components
 
 GENERIC = ("ENTITY", "UNKNOWN", "NAMED_ENTITY", "CONCEPT")
@@ -159,3 +159,78 @@ def bigrams(texts: DataFrame, text: str) -> DataFrame:
     w = texts.select(words(F.lower(F.col(text))).alias("w")).where("size(w) > 1")
     pairs = F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws("_", a, b))
     return w.select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
+
+
+def duplication_audit(entities: int, pairs: DataFrame) -> DataFrame:
+    """One row (pairs, entities_in_pairs, health_score, flag) of similar names; pairs(a, b), entities counted before."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).agg(F.countDistinct("id").alias("entities_in_pairs"))
+    r = pairs.agg(F.count("*").alias("pairs")).join(F.broadcast(ends)).withColumn("n", F.lit(max(entities, 1)))
+    return r.select("pairs", "entities_in_pairs", F.round(F.greatest(F.lit(0.0), 100 - 500 * F.col("pairs") / F.col("n")), 1).alias("health_score"), F.when(F.col("pairs") > F.col("n") * 0.1, "red").when(F.col("pairs") > 0, "yellow").otherwise("green").alias("flag"))
+
+
+def overall_health(*audits: DataFrame) -> DataFrame:
+    """One row (overall_health_score, verdict): the mean of the health scores of one-row audits, and its word."""
+    scores = audits[0].select(F.col("health_score").cast("double").alias("h"))
+    for a in audits[1:]:
+        scores = scores.unionByName(a.select(F.col("health_score").cast("double").alias("h")))
+    return scores.agg(F.round(F.avg("h"), 1).alias("overall_health_score")).withColumn("verdict", verdict(F.col("overall_health_score")))
+
+
+def database_audit(nodes: DataFrame, edges: DataFrame, threshold: float = 0.85, patterns: int = 100, starts: int = 50) -> DataFrame:
+    """One row of the stored graph's audit variant: compliance, duplicates and undirected reach.
+
+    nodes(id, name, type), edges(subject, object, predicate). Of the `patterns` most frequent (type,
+    predicate, type) patterns those with a DATE as subject of a person, body or place are violations.
+    Duplicates are of one type, one name inside the other, with similar 3-grams (candidates share a 3-gram
+    of the shorter name's start). Reach is counted undirected from the `starts` first nodes in hash order.
+    """
+    t = nodes.select("id", "type")
+    p = edges.where("upper(predicate) <> 'MENTIONS'").join(t.select(F.col("id").alias("subject"), F.col("type").alias("st")), "subject").join(t.select(F.col("id").alias("object"), F.col("type").alias("ot")), "object")
+    p = p.groupBy("st", "predicate", "ot").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "st", "predicate", "ot").limit(patterns)
+    odd = (F.col("st") == "DATE") & F.col("ot").isin("PERSON", "ORG", "GPE")
+    comply = p.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.coalesce(F.sum(F.when(odd, F.col("n"))), F.lit(0)).alias("violations"))
+    comply = comply.select("violations", F.round(F.coalesce(F.try_divide(F.col("all") - F.col("violations"), F.col("all")), F.lit(0.0)), 4).alias("compliance_rate"))
+    named = nodes.where("name is not null and type is not null").select("id", "type", F.lower("name").alias("n"))
+    g = named.select("id", "type", "n", F.array_distinct(char_ngrams(F.col("n"), 3)).alias("g"))
+    # a name inside another one has its first 3-gram there: an equi-join, then containment
+    inner, outer = g.select(F.col("id").alias("a"), "type", F.col("n").alias("x"), F.col("g").alias("ga"), F.substring("n", 1, 3).alias("k")), g.select(F.col("id").alias("b"), "type", F.col("n").alias("y"), F.col("g").alias("gb"), F.explode("g").alias("k"))
+    both = F.size(F.array_intersect("ga", "gb"))
+    dup = inner.join(outer, ["type", "k"]).where(F.contains("y", F.col("x")) & (F.col("a") != F.col("b")) & (F.col("x") != F.col("y")) & (both / (F.size("ga") + F.size("gb") - both) >= threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    n = nodes.agg(F.count("*").alias("n"))
+    und = edges.select("subject", "object").union(edges.select("object", "subject")).distinct()
+    first = nodes.select("id").distinct().orderBy(F.sha2("id", 256), "id").limit(starts)
+    seen = reachable(nodes, und, first, 3).where("start <> id").groupBy("start", "id").agg(F.min("depth").alias("d"))
+    reach = seen.agg(F.count(F.when(F.col("d") <= 2, 1)).alias("r2"), F.count("*").alias("r3"))
+    out = comply.join(F.broadcast(dup.agg(F.count("*").alias("duplicate_pairs")))).join(F.broadcast(n)).join(F.broadcast(reach)).join(F.broadcast(first.agg(F.count("*").alias("k"))))
+    share = lambda c: F.round(F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("k") * (F.col("n") - 1)), F.lit(0.0)), 4)
+    return out.select("violations", "compliance_rate", "duplicate_pairs", share("r2").alias("reachable_2hop"), share("r3").alias("reachable_3hop"))
+
+
+def sft_overall(pairs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """One row (faithfulness, answer_relevancy, factual_correctness, semantic_diversity, overall_score) of pairs(id, instruction, response, context).
+
+    facts(id, subject, object) are the triples behind a pair: half a point for each end in the response,
+    the mean over a pair's triples, 0.5 without any; diversity is distinct over all bigrams of instructions.
+    """
+    if facts is None:
+        scored = pairs.withColumn("fact", F.lit(0.5))
+    else:
+        f = facts.join(pairs.select("id", "response"), "id").groupBy("id").agg(F.avg(factual(F.col("subject"), F.col("object"), F.col("response"))).alias("fact"))
+        scored = pairs.join(f, "id", "left").withColumn("fact", F.coalesce("fact", F.lit(0.5)))
+    r = scored.agg(F.avg(faithful(F.col("context"), F.col("response")).cast("double")).alias("x"), F.avg(relevancy(F.col("instruction"), F.col("response"))).alias("y"), F.avg("fact").alias("z"))
+    b = bigrams(pairs, "instruction").agg(F.coalesce(F.count("*") / F.sum("n"), F.lit(0.0)).alias("d"))
+    r = r.join(F.broadcast(b)).select(*[F.round(F.coalesce(c, F.lit(0.0)), 3).alias(n) for c, n in (("x", "faithfulness"), ("y", "answer_relevancy"), ("z", "factual_correctness"), ("d", "semantic_diversity"))])
+    mean = (F.col("faithfulness") + F.col("answer_relevancy") + F.col("factual_correctness") + F.col("semantic_diversity")) / 4
+    return r.withColumn("overall_score", F.round(mean, 3))
+
+
+def rank_models(scores: DataFrame) -> DataFrame:
+    """(metric, model, value, place): models ranked by each metric of scores(model, metric, value); low is good for hallucination_rate only."""
+    signed = F.when(F.col("metric") == "hallucination_rate", F.col("value")).otherwise(-F.col("value"))
+    return scores.select("metric", "model", "value", F.rank().over(Window.partitionBy("metric").orderBy(signed)).alias("place"))
+
+
+def counted(stage: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same rows and an observation of their number, filled by whatever action reads them: a counter without a job of its own."""
+    seen = Observation(stage)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

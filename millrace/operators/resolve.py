@@ -27,11 +27,11 @@ def resolve_strings(entities: DataFrame, threshold: float = 0.85) -> DataFrame:
     entities(pos, name, type), pos unique. In order of pos an entity merges into the first canonical
     before it whose tokens have that Jaccard similarity, or becomes one; a canonical's name never
     changes. The rule runs over distinct (type, token set) pairs, so names repeated any number of times
-    take part once. Null names or types count as empty; an empty name only equals empty ones.
+    take part once. Null types count as empty; an entity without a name never merges.
     """
     e = entities.select("pos", F.lower(F.trim(F.coalesce("name", F.lit("")))).alias("n"), F.coalesce("type", F.lit("")).alias("type"))
     tokens = F.transform(F.array_sort(name_tokens(F.col("n"))), lambda t: F.concat(F.col("type"), F.lit("\x1f"), t))
-    keyed = cut(e.select("pos", F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.concat("type", F.lit("\x1f")))).alias("s")).withColumn("h", F.sha2(F.array_join("s", "\x1e"), 256)))
+    keyed = cut(e.select("pos", F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.concat("type", F.lit("\x1f\x1f"), F.col("pos").cast("string")))).alias("s")).withColumn("h", F.sha2(F.array_join("s", "\x1e"), 256)))
     forms = cut(keyed.groupBy("h").agg(F.min("pos").alias("id"), F.first("s").alias("s")))
     pairs = cut(set_pairs(forms, "id", "s", threshold).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
     merged = cut(greedy_keep_first(pairs, "u", "v"))
@@ -40,6 +40,29 @@ def resolve_strings(entities: DataFrame, threshold: float = 0.85) -> DataFrame:
     return keyed.join(out, "h").select("pos", "canonical_pos")
 
 
+def resolve_embeddings(entities: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """(pos, canonical_pos): each entity with the first seed before it of its type that is compatible in name and close in meaning.
+
+    entities(pos, name, type, embedding), pos unique. In order of pos an entity joins the first seed it is
+    linked to, or becomes one: only seeds attract, so links to joined entities don't count. Candidates
+    share a token of the name, the whole name or an acronym with its expansion, all equi-joins; then names
+    and the cosine decide. Null names, types or vectors never join.
+    """
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    e = entities.select("pos", "name", F.coalesce("type", F.lit("")).alias("type"), F.transform("embedding", lambda x: x.cast("double")).alias("v")).where("name is not null and v is not null").withColumn("n", norm).where("n > 0")
+    e = cut(e)
+    keys = F.array_distinct(F.filter(F.concat(name_tokens(F.col("name")), F.array(F.concat(F.lit("="), F.lower(F.trim("name"))), F.concat(F.lit("a"), F.nullif(acronym(F.col("name")), F.lit(""))), F.concat(F.lit("a"), compact(F.col("name"))))), lambda x: x.isNotNull()))
+    k = e.select("pos", "type", F.explode(keys).alias("k"))
+    pairs = k.join(k.select(F.col("pos").alias("later"), "type", "k"), ["type", "k"]).where("pos < later").select("pos", "later").distinct()
+    side = lambda p, t: e.select(F.col("pos").alias(p), *[F.col(c).alias(f"{c}{t}") for c in ("name", "v", "n")])
+    both = pairs.join(side("pos", "_a"), "pos").join(side("later", "_b"), "later")
+    dot = F.aggregate(F.zip_with("v_a", "v_b", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    links = cut(both.where(surface_compatible(F.col("name_a"), F.col("name_b")) & (dot / (F.col("n_a") * F.col("n_b")) >= threshold)).select(F.col("pos").alias("u"), F.col("later").alias("v")))
+    joined = cut(greedy_keep_first(links, "u", "v"))
+    into = links.join(joined, F.col("u") == F.col("id"), "left_anti").join(joined, F.col("v") == F.col("id"), "left_semi").groupBy("v").agg(F.min("u").alias("u"))
+    return entities.select("pos").join(into, F.col("pos") == F.col("v"), "left").select("pos", F.coalesce("u", "pos").alias("canonical_pos"))
+
+
 def merge_clusters(entities: DataFrame, mapping: DataFrame) -> DataFrame:
     """One entity per canonical: the best name (confidence, then length, then order), joined aliases, sources, longest description, highest score.
 
@@ -75,5 +98,5 @@ def match_stored(batch: DataFrame, stored: DataFrame, threshold: float = 0.85) -
     ax, bx = a.select(F.col("k").alias("pos"), "type", "s", F.explode("s").alias("t")), b.select(F.col("k").alias("id"), "type", F.col("s").alias("z"), F.explode("s").alias("t"))
     pair = ax.join(bx, ["type", "t"]).groupBy("pos", "id").agg(F.count("*").alias("both"), F.first(F.size("s")).alias("n"), F.first(F.size("z")).alias("m"))
     sim = F.col("both").cast("double") / (F.col("n") + F.col("m") - F.col("both"))
-    best = pair.select("pos", "id", sim.alias("similarity")).where(f"similarity >= {threshold}").groupBy("pos").agg(F.max_by(F.struct("id", "similarity"), F.struct("similarity", (-F.col("id")) if dict(stored.dtypes)["id"] in ("bigint", "int") else F.lit(0))).alias("b"))
+    best = pair.select("pos", "id", sim.alias("similarity")).where(f"similarity >= {threshold}").groupBy("pos").agg(F.min_by(F.struct("id", "similarity"), F.struct((-F.col("similarity")).alias("s"), "id")).alias("b"))
     return batch.select("pos").join(best, "pos", "left").select("pos", F.col("b.id").alias("stored_id"), "b.similarity")

@@ -490,8 +490,10 @@ t AS (SELECT tri.pos, subject AS s, object AS o, coalesce(a.type, 'ENTITY') AS s
 m AS (SELECT t.pos, t.s, t.o, st, ot, arg_min({{'p': r.p, 'f': r.h = st AND r.o = ot}}, r.i) AS x FROM t LEFT JOIN r ON (r.h = st AND r.o = ot) OR (r.h = ot AND r.o = st) GROUP BY ALL),
 y AS (SELECT pos, coalesce(x.p, CASE WHEN st = ot THEN 'related_to' ELSE 'associated_with' END) AS p, CASE WHEN coalesce(x.f, true) THEN s ELSE o END AS a, CASE WHEN coalesce(x.f, true) THEN o ELSE s END AS b FROM m)
 SELECT pos, CASE WHEN p IN {_SYM} AND b < a THEN b ELSE a END AS subject, p AS predicate, CASE WHEN p IN {_SYM} AND b < a THEN a ELSE b END AS object FROM y""",
-    "token_balance": rf"""WITH q AS (SELECT item_id, split, min(len(regexp_extract_all(question || chr(10) || coalesce(answer, ''), '[\pL\pN_]+|[^\pL\pN_\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\pZ]'))) AS n FROM qa_items WHERE question IS NOT NULL GROUP BY 1, 2),
-r AS (SELECT item_id, n, sum(n) OVER (ORDER BY item_id) AS s FROM q WHERE split = 'train') SELECT item_id, n FROM r WHERE s <= (SELECT sum(n) FROM q WHERE split <> 'train') OR s = n""",
+    "token_balance": rf"""WITH RECURSIVE q AS (SELECT item_id, split, min(len(regexp_extract_all(question || chr(10) || coalesce(answer, ''), '[\pL\pN_]+|[^\pL\pN_\s\x{{b}}\x{{1c}}-\x{{1f}}\x{{85}}\pZ]'))) AS n FROM qa_items WHERE question IS NOT NULL GROUP BY 1, 2),
+budget AS (SELECT coalesce(sum(n), 0) AS b FROM q WHERE split <> 'train'), t AS (SELECT item_id, n, row_number() OVER (ORDER BY item_id) AS i FROM q WHERE split = 'train'),
+f(i, used, kept) AS (SELECT 1::BIGINT, n::BIGINT, true FROM t WHERE i = 1 UNION ALL SELECT t.i, CASE WHEN f.used < b AND f.used + n <= b THEN f.used + n ELSE f.used END, f.used < b AND f.used + n <= b FROM f JOIN t ON t.i = f.i + 1, budget)
+SELECT item_id, n FROM t JOIN f USING (i) WHERE kept""",
     "coverage_scores": rf"""WITH {_ENT}, k AS (SELECT *, {{kg}} AS kn FROM ent), t AS (SELECT t.pos, a.kn AS a, lower(predicate) AS p, b.kn AS b FROM triples t JOIN k a ON t.subject = a.id JOIN k b ON t.object = b.id),
 n AS (SELECT DISTINCT kn FROM k WHERE confidence > 0.5), h AS (SELECT DISTINCT a, p, b FROM t WHERE pos % 2 = 0), u AS (SELECT a, b FROM h UNION SELECT b, a FROM h),
 f AS (SELECT *, (a, p, b) IN (SELECT (a, p, b) FROM h) AS e, (a, b) IN (SELECT (a, b) FROM u) AS c, a IN (SELECT kn FROM n) AND b IN (SELECT kn FROM n) AS m FROM t)

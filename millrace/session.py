@@ -15,11 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where that is unset, a folder of our own."""
+    """The folder named in spark.checkpoint.dir; only where that is unset and all runs in one process, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if named is None:
         named = sc.getCheckpointDir()
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if named is None:
             named = tempfile.mkdtemp(prefix="millrace-checkpoint-")
             sc.setCheckpointDir(named)

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sinks.manifests import write_small
+
 # What each kind of node may carry.
 ALLOWED = {
     "Document": ("id", "name", "type", "title", "chunk_count", "source"),
@@ -82,11 +84,9 @@ def to_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     """GraphML parts below a folder, with header and footer as the first and last part by name."""
     graphml_lines(nodes, edges).write.mode("overwrite").text(path)
     keys = sorted({*nodes.columns, *edges.columns} - {"id", "subject", "object"})
-    if os.path.isdir(path):
-        with open(os.path.join(path, "header.xml"), "w", encoding="utf-8") as f:
-            f.write('<?xml version="1.0" encoding="utf-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">' + "".join(f'<key id="{k}" for="all" attr.name="{k}" attr.type="string"/>' for k in keys) + '<graph edgedefault="directed">\n')
-        with open(os.path.join(path, "trailer.xml"), "w", encoding="utf-8") as f:
-            f.write("</graph></graphml>\n")
+    head = "".join(f'<key id="{k}" for="all" attr.name="{k}" attr.type="string"/>' for k in keys)
+    write_small(nodes.sparkSession, f"{path}/header.xml", f'<?xml version="1.0" encoding="utf-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">{head}<graph edgedefault="directed">\n')
+    write_small(nodes.sparkSession, f"{path}/trailer.xml", "</graph></graphml>\n")
 
 
 WRITERS = {"json": to_json, "graphml": to_graphml, "neo4j_csv": to_csv, "rdf": lambda n, e, p: to_turtle(e, p), "cytoscape": lambda n, e, p: cytoscape_elements(n, e).write.mode("overwrite").text(p)}

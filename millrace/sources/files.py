@@ -12,13 +12,25 @@ FORMATS = ("txt", "md", "json", "jsonl", "csv")
 _TEXT = ("text", "content", "body")
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop file system, path) of a path with or without a scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system is a folder."""
+    fs, p = file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def _rest(m: Column, *used: str) -> Column:
     return F.map_filter(m, lambda k, v: ~k.isin(*used))
 
 
 def read_text(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """One document a file; its path is source and id."""
-    d = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=os.path.isdir(path))
+    d = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=is_folder(spark, path))
     src = F.col("_metadata.file_path")
     return d.select(F.col("value").alias("content"), src.alias("source"), src.alias("doc_id"), F.create_map().cast("map<string,string>").alias("metadata"))
 
@@ -33,7 +45,7 @@ def _from_map(d: DataFrame, keep: Column | None = None) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """An array gives a document an item, an object one document without metadata; malformed files raise."""
-    d = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=os.path.isdir(path)).select("value", F.col("_metadata.file_path").alias("source"))
+    d = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=is_folder(spark, path)).select("value", F.col("_metadata.file_path").alias("source"))
     array = F.ltrim("value").startswith("[")
     rows = F.when(array, F.from_json("value", "array<map<string,string>>", {"mode": "FAILFAST"})).otherwise(F.array(F.from_json(F.when(~array, F.col("value")), "map<string,string>", {"mode": "FAILFAST"})))
     return _from_map(d.select("source", array.alias("a"), F.posexplode(rows).alias("i", "m")), F.col("a"))
@@ -41,7 +53,7 @@ def read_json(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFr
 
 def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", tolerant: bool = False) -> DataFrame:
     """A document a non-blank line; a malformed line raises, or is skipped if tolerant; upload_date defaults to ''."""
-    d = spark.read.text(path, pathGlobFilter=pattern, recursiveFileLookup=os.path.isdir(path)).select("value", F.col("_metadata.file_path").alias("source")).where(F.trim("value") != "")
+    d = spark.read.text(path, pathGlobFilter=pattern, recursiveFileLookup=is_folder(spark, path)).select("value", F.col("_metadata.file_path").alias("source")).where(F.trim("value") != "")
     m = F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE" if tolerant else "FAILFAST"})
     d = d.select("source", m.alias("m"), F.xxhash64("value").alias("i"))
     if tolerant:
@@ -52,7 +64,7 @@ def read_jsonl(spark: SparkSession, path: str, pattern: str = "*.jsonl", toleran
 
 def read_csv(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """A document a row; the text is the first column named text, content or body in any case, else the first one."""
-    d = spark.read.csv(path, header=True, multiLine=True, escape='"', pathGlobFilter=pattern, recursiveFileLookup=os.path.isdir(path))
+    d = spark.read.csv(path, header=True, multiLine=True, escape='"', pathGlobFilter=pattern, recursiveFileLookup=is_folder(spark, path))
     names = d.columns
     text = next((c for c in names if c.lower() in _TEXT), names[0])
     src = F.col("_metadata.file_path")
@@ -63,15 +75,15 @@ def read_csv(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFram
 READERS = {"txt": read_text, "md": read_text, "json": read_json, "jsonl": read_jsonl, "csv": read_csv}
 
 
-def load(spark: SparkSession, paths: list[str], formats: tuple[str, ...] = FORMATS) -> DataFrame:
+def load(spark: SparkSession, paths: list[str], formats: tuple[str, ...] = FORMATS, tolerant: bool = False) -> DataFrame:
     """All documents below the paths with a position; folders are walked by format, files loaded whatever the formats say.
 
-    Unknown suffixes give nothing. The position is the rank by source and id, not the order of files.
+    Unknown suffixes give nothing; tolerant skips malformed JSON lines. The position is the rank by source and id, not the order of files.
     """
     parts = []
     for p in paths:
-        kinds = formats if os.path.isdir(p) else [os.path.splitext(p)[1].lstrip(".").lower()]
-        parts += [READERS[k](spark, p, f"*.{k}") for k in kinds if k in READERS]
+        kinds = formats if is_folder(spark, p) else [os.path.splitext(p)[1].lstrip(".").lower()]
+        parts += [READERS[k](spark, p, f"*.{k}", **({"tolerant": True} if tolerant and k == "jsonl" else {})) for k in kinds if k in READERS]
     if not parts:
         return spark.createDataFrame([], "content string, source string, doc_id string, metadata map<string,string>, pos bigint")
     d = reduce(DataFrame.unionByName, parts)

@@ -7,19 +7,21 @@ that is run again after a failure writes the same version, so every batch counts
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.graph import build_edges, normalize_triples
 from millrace.schemas import TRIPLES
+from millrace.sources.files import file_system
 
 
 def stored(spark: SparkSession, path: str, version: int) -> DataFrame:
     """The triples of the newest version up to a number; none yet is an empty table."""
-    have = [int(x.split("=")[1]) for x in (os.listdir(path) if os.path.isdir(path) else []) if x.startswith("v=") and os.path.exists(os.path.join(path, x, "_SUCCESS"))]
+    fs, p = file_system(spark, path)
+    here = [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
+    done = lambda x: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS"))
+    have = [int(x.getName().split("=")[1]) for x in here if x.getName().startswith("v=") and done(x)]
     best = max((v for v in have if v <= version), default=None)
     return spark.createDataFrame([], TRIPLES) if best is None else spark.read.schema(TRIPLES).parquet(f"{path}/v={best}")
 
