@@ -101,13 +101,10 @@ def word_changes(a: str, b: str, most: int = 2) -> list[tuple[str, str]] | None:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for e, t, x, y, k in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            d = banded(x, y, k)
-            if d <= k and (c := word_changes(x, y)) is not None:
-                out.append((e, t, d, [{"x": p, "y": q} for p, q in c]))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())])))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["e", "t", "edits", "changes"])
+        said = [word_changes(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        keep = pa.array([c is not None for c in said], pa.bool_())
+        changes = pa.array([[{"x": p, "y": q} for p, q in c] for c in said if c is not None], pa.list_(pa.struct([("x", pa.string()), ("y", pa.string())])))
+        yield pa.RecordBatch.from_arrays([*[batch.column(i).filter(keep) for i in (0, 1, 4)], changes], names=["e", "t", "edits", "changes"])
 
 
 def cross_split(records: DataFrame, item: str, question: str, answer: str, split: str, train: str = "train", asked: Callable[[str | None], str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -126,6 +123,9 @@ def cross_split(records: DataFrame, item: str, question: str, answer: str, split
     read = cut(read.select("item", "train", "q", F.xxhash64("a").alias("akey"), F.xxhash64("q", "a").alias("text")).distinct())
     texts = read.groupBy("text", "train").agg(F.first("q").alias("q"), F.first("akey").alias("akey"))
     evals, trains = texts.where("not train").drop("train"), texts.where("train").drop("train")
+    # an answer that only one side has can't be shared: its texts are out before any substring is made
+    shared = texts.groupBy("akey").agg(F.bool_or("train").alias("x"), F.bool_or(~F.col("train")).alias("y")).where("x and y").select("akey")
+    evals, trains = cut(evals.join(shared, "akey", "left_semi")), cut(trains.join(shared, "akey", "left_semi"))
     # short questions are cut in halves; short training questions give substrings of every such length
     short = 2 * Q
     cuts = evals.where("length(q) > 1").withColumn("len", F.length("q")).withColumn("size", F.expr(f"if(len < {short}, len div 2, {Q})")).withColumn("n", F.expr("len div size"))
@@ -139,7 +139,9 @@ def cross_split(records: DataFrame, item: str, question: str, answer: str, split
     rank = Window.partitionBy("text").orderBy(F.coalesce("often", F.lit(0)), "pos")
     chosen = cuts.join(often, "key", "left").withColumn("r", F.row_number().over(rank)).where("r <= k + 1 and often is not null")
     near = chosen.select(F.col("text").alias("e"), "k", F.col("len").alias("elen"), F.col("pos").alias("epos"), "key").join(grams.select(F.col("text").alias("t"), F.col("len").alias("tlen"), F.col("pos").alias("tpos"), "key"), "key").where("abs(epos - tpos) <= k and abs(elen - tlen) <= k and e <> t").select("e", "t", "k").distinct()
-    found = near.join(evals.select(F.col("text").alias("e"), F.col("q").alias("x")), "e").join(trains.select(F.col("text").alias("t"), F.col("q").alias("y")), "t").select("e", "t", "x", "y", "k")
+    found = near.join(evals.select(F.col("text").alias("e"), F.col("q").alias("x")), "e").join(trains.select(F.col("text").alias("t"), F.col("q").alias("y")), "t")
+    # banded dynamic programming, in whole-stage code; K is the widest band
+    found = found.withColumn("edits", F.levenshtein("x", "y", K)).where("edits between 0 and k").select("e", "t", "x", "y", "edits")
     found = cut(found.mapInArrow(_verify, "e long, t long, edits int, changes array<struct<x string, y string>>"))
     change = found.select("e", "t", F.explode("changes").alias("c")).select("e", "t", "c.x", "c.y")
     asked_words = change.select(F.explode(F.array("x", "y")).alias("word")).distinct()

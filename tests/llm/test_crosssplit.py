@@ -78,3 +78,13 @@ def test_common_words_are_no_slips_of_each_other_at_any_size(spark):
         rows += [(1000 + i, f"Which merchant sold copper wine in z{i:x} harbour", "y", "train") for i in range(n)]
         rows += [(2000, "Which merchant sold copper wine in a0 harbour", "x", "test"), (2001, "Which mercant sold copper wire in a0 harbour", "x", "test")]
         assert pairs(spark, rows) == {(0, 2001)}, n
+
+
+def test_the_engine_s_banded_distance_is_the_same(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("aạ\U00020000b ") for _ in range(r.randrange(9)))
+    ps = [(word(), word()) for _ in range(400)]
+    got = [x.d for x in spark.createDataFrame(ps, "x string, y string").select(F.levenshtein("x", "y", 3).alias("d")).collect()]
+    assert got == [d if (d := banded(x, y, 3)) <= 3 else -1 for x, y in ps]
