@@ -127,13 +127,6 @@ def regex_entities(spark, sf_dir):
     return extract.regex_entities(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", F.lower("name").alias("name"), "label")
 
 
-def relation_patterns(spark, sf_dir):
-    """Relations between entities that stand in one sentence of their source record."""
-    docs = table(spark, sf_dir, "source_documents").where("content is not null").select("doc_id", "content").distinct()
-    e = _entities(spark, sf_dir).where("source is not null").select(F.col("source").alias("doc_id"), "id", "name", F.coalesce("type", F.lit("ENTITY")).alias("label"))
-    return extract.rule_relations(docs, e, "doc_id", "content")
-
-
 def inferred_relations(spark, sf_dir):
     """The relation that the labels of each triple's ends suggest."""
     n = _entities(spark, sf_dir).select("id", F.coalesce("type", F.lit("ENTITY")).alias("type"))
@@ -378,7 +371,7 @@ def chunk_linkage(spark, sf_dir):
 
 NAMES = (
     "exact_dedup exact_clusters jaccard_pairs near_dup_clusters simhash_signatures simhash_dedup ngram_greedy_dedup cosine_search semantic_clusters line_frequency frequent_lines_dropped normalized_triples distinct_facts "
-    "distinct_questions fixed_chunks sentence_chunks token_budget_records shard_plan token_balance regex_entities relation_patterns inferred_relations delimited_records merged_descriptions text_facts bio_spans entity_resolution "
+    "distinct_questions fixed_chunks sentence_chunks token_budget_records shard_plan token_balance regex_entities inferred_relations delimited_records merged_descriptions text_facts bio_spans entity_resolution "
     "entity_clusters id_map incremental_match graph_nodes graph_edges next_edges part_of_counts degree_stats label_histogram weak_components pagerank ontology_check audit_orphans audit_density audit_schema audit_hops similar_names "
     "kg_quality coverage_scores token_f1 answer_metrics sft_scores bigram_diversity source_counts curation_report grouped_split single_hop_qa true_false_qa two_hop_paths comparison_pairs knowledge_edges khop_subgraphs version_status "
     "replaced_documents graph_search chunk_linkage"
@@ -515,3 +508,26 @@ SELECT e.pos, m.m.id AS stored_id, m.m.sim AS similarity FROM e LEFT JOIN m ON e
     "semantic_clusters": """WITH RECURSIVE l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.42),
 reach(a, b) AS (SELECT a, a FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a) SELECT a AS vec_id, min(b) AS cluster FROM reach GROUP BY a""",
 }
+
+
+# Folds as recursion over rows in order: each row joins or leaves the list of kept ones by its earlier neighbours.
+_KEEP = """ord AS (SELECT pos, row_number() OVER (ORDER BY pos) AS i FROM base), nb AS (SELECT b, list(a) AS l FROM near GROUP BY b), seq AS (SELECT ord.i, ord.pos, coalesce(nb.l, []) AS l FROM ord LEFT JOIN nb ON nb.b = ord.pos),
+fold(i, pos, canon, kept) AS (SELECT 0::BIGINT, NULL::BIGINT, NULL::BIGINT, []::BIGINT[] UNION ALL
+  SELECT seq.i, seq.pos, coalesce(list_min(list_intersect(fold.kept, seq.l)), seq.pos), CASE WHEN len(list_intersect(fold.kept, seq.l)) = 0 THEN list_append(fold.kept, seq.pos) ELSE fold.kept END FROM fold JOIN seq ON seq.i = fold.i + 1)"""
+_NUM = f"{_ENT}, num AS (SELECT ('0x' || substring(md5(id), 1, 15))::BIGINT AS pos, id, name, coalesce(type, '') AS type, aliases, confidence, list_distinct({_w('lower(name)')}) AS t FROM ent)"
+_RESOLVED = f"""WITH RECURSIVE {_NUM}, base AS (SELECT pos FROM num), near AS (SELECT a.pos AS a, b.pos AS b FROM num a JOIN num b ON a.type = b.type AND a.pos < b.pos WHERE len(a.t) > 0 AND len(b.t) > 0 AND len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) >= 0.6 - 1e-12), {_KEEP},
+res AS (SELECT pos, canon FROM fold WHERE i > 0)"""
+_MERGED = f"""{_RESOLVED}, cluster AS (SELECT canon, arg_max(name, {{'c': coalesce(confidence, 0), 'l': coalesce(length(name), -1), 'p': -num.pos}}) AS name, arg_max(type, {{'c': coalesce(confidence, 0), 'l': coalesce(length(name), -1), 'p': -num.pos}}) AS type, count(*) AS members FROM num JOIN res USING (pos) GROUP BY canon)"""
+SQL |= {
+    "entity_resolution": f"{_RESOLVED} SELECT pos, canon AS canonical_pos FROM res",
+    "entity_clusters": f"{_MERGED} SELECT canon AS canonical_pos, name, members FROM cluster",
+    "id_map": f"""{_MERGED}, al AS (SELECT canon, lower(a) AS k FROM (SELECT canon, unnest(aliases) AS a FROM num JOIN res USING (pos)) WHERE a IS NOT NULL UNION SELECT canon, lower(name) FROM cluster),
+ix AS (SELECT type, k, max(canon) AS id FROM al JOIN cluster USING (canon) GROUP BY 1, 2) SELECT num.pos, coalesce(ix.id, num.pos) AS id FROM num LEFT JOIN ix ON ix.type = num.type AND ix.k = lower(num.name)""",
+    "shard_plan": f"""WITH RECURSIVE r AS (SELECT pos, coalesce(len({_w('content')}), 0)::BIGINT AS tokens FROM source_documents), o AS (SELECT *, row_number() OVER (ORDER BY sha256(':' || pos)) AS i FROM r),
+f(i, pos, tokens, shard, used) AS (SELECT i, pos, tokens, 0, tokens FROM o WHERE i = 1 UNION ALL SELECT o.i, o.pos, o.tokens, CASE WHEN f.used > 0 AND f.used + o.tokens > 2000 THEN f.shard + 1 ELSE f.shard END, CASE WHEN f.used > 0 AND f.used + o.tokens > 2000 THEN o.tokens ELSE f.used + o.tokens END FROM f JOIN o ON o.i = f.i + 1)
+SELECT pos, 0 AS lane, shard, tokens FROM f""",
+    "pagerank": f"""{_G.replace('WITH', 'WITH RECURSIVE', 1)}, w AS (SELECT subject AS s, object AS o, weight::DOUBLE / sum(weight) OVER (PARTITION BY subject) AS p FROM edge), n AS (SELECT DISTINCT id FROM node), m AS (SELECT count(*)::DOUBLE AS m FROM n),
+pr(k, id, rank, delta) AS (SELECT 0, id, 1.0::DOUBLE / m, 1e9::DOUBLE FROM n, m UNION ALL SELECT k + 1, id, fresh, sum(abs(fresh - rank)) OVER () FROM (
+  SELECT pr.k, pr.id, pr.rank, 0.15 / m + 0.85 * (coalesce(x.x, 0) + d.d / m) AS fresh FROM pr LEFT JOIN (SELECT w.o, sum(w.p * q.rank) AS x FROM w JOIN pr q ON w.s = q.id GROUP BY w.o) x ON x.o = pr.id, (SELECT coalesce(sum(rank), 0) AS d FROM pr WHERE id NOT IN (SELECT s FROM w)) d, m WHERE pr.delta >= 1e-4 * m AND pr.k < 100))
+SELECT id, round(rank, 6) AS rank FROM pr WHERE k = (SELECT max(k) FROM pr)""",
+}
