@@ -150,6 +150,11 @@ QUERIES = {
     "p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p4_found": p4_found, "p4_profiles": p4_profiles, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_report": p9_report, "p9_copies": p9_copies, "p10_found": p10_found, "p10_restored": p10_restored,
 }
 SQL: dict[str, str] = {
+    # sizes in characters: which sources fall short doesn't depend on the tokenizer
+    "p9_found": r"""
+WITH t AS (SELECT lower(trim(source)) AS source, max(target_share) AS w, max(max_repeats) AS r FROM mix_targets GROUP BY 1),
+n AS (SELECT lower(regexp_replace(source, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS source, sum(length(text)) AS n FROM documents GROUP BY 1)
+SELECT t.source FROM t LEFT JOIN n USING (source) WHERE coalesce(n.n, 0) * t.r < t.w * (SELECT sum(length(text)) FROM documents)""",
     "p6_found": """
 WITH RECURSIVE item AS (
   SELECT DISTINCT item_id, lower(nullif(trim(_group_id), '')) AS g, lower(nullif(trim(source), '')) AS s FROM qa_items),
