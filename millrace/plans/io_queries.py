@@ -110,6 +110,10 @@ NAMES = "jsonl_source csv_source text_source sitemap crawl_depths archive_versio
 QUERIES = {n: globals()[n] for n in NAMES}
 _D = "d AS (SELECT doc_id, min(content) AS content, min(metadata['title']) AS title FROM source_documents WHERE content IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id)"
 _IRI = r"regexp_replace(regexp_replace({}, '\s+', '_', 'g'), '[\"''<>]', '', 'g')"
+def _xml(c: str) -> str:
+    return f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
 SQL: dict[str, str] = {
     "jsonl_source": f"WITH {_D} SELECT doc_id, md5(content) AS md5, title FROM d",
     "csv_source": rf"WITH {_D} SELECT doc_id, length(regexp_replace(content, '\r\n?', chr(10), 'g')) AS n FROM d WHERE regexp_replace(content, '^{T.WS}+|{T.WS}+$', '', 'g') <> ''",
@@ -122,4 +126,10 @@ SQL: dict[str, str] = {
     "node_projections": f"{_G} SELECT id, name, type FROM node WHERE coalesce(type, '') NOT IN ('Document', 'Chunk')",
     "numbered_documents": f"WITH {_D} SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM d",
     "upload_rows": f"WITH {_TRI} SELECT count(*) AS sent FROM (SELECT DISTINCT subject, object, predicate FROM tri)",
+    "cytoscape": f"""{_G}, lab AS (SELECT subject, object, arg_min(predicate, pos) AS label FROM tri GROUP BY 1, 2)
+SELECT '{{"data":{{' || concat_ws(',', '"id":' || to_json(id), '"label":' || to_json(name), '"type":' || to_json(type)) || '}}}}' AS value FROM node
+UNION ALL SELECT '{{"data":{{' || concat_ws(',', '"source":' || to_json(subject), '"target":' || to_json(object), '"label":' || to_json(label)) || '}}}}' FROM lab""",
+    "graphml": f"""{_G}, lab AS (SELECT subject, object, list(predicate ORDER BY p) AS ps FROM (SELECT subject, object, predicate, min(pos) AS p FROM tri GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT '<node id="' || id || '"><data key="name">' || coalesce({_xml('name')}, '') || '</data><data key="type">' || coalesce({_xml('type')}, '') || '</data></node>' AS value FROM node
+UNION ALL SELECT '<edge source="' || subject || '" target="' || object || '"><data key="predicates">["' || array_to_string(ps, '", "') || '"]</data><data key="weight">' || len(ps) || '</data></edge>' FROM lab""",
 }
