@@ -10,6 +10,7 @@ from millrace.functions.unicode import html_to_text, stable_ids, unicode_repair
 from millrace.operators.graph import latest
 from millrace.operators.quality import quality_profile
 from millrace.session import table
+from millrace.sources import web
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +54,7 @@ def page_stats(spark, sf_dir):
 
 
 def page_gates(spark, sf_dir):
-    p = _docs(spark, sf_dir).select("doc_id", F.length("text").alias("n"), T.unique_chars(F.col("text")).alias("u"))
-    return p.where("n >= 50 and u >= 40 and u >= 0.01 * n").select("doc_id")
+    return _docs(spark, sf_dir).where(web.page_gates(F.col("text"), least_unique=40)).select("doc_id")
 
 
 def page_kinds(spark, sf_dir):
@@ -62,7 +62,12 @@ def page_kinds(spark, sf_dir):
 
 
 def article_urls(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("url is not null").select("doc_id", F.parse_url("url", F.lit("HOST")).alias("host"), T.is_article(F.col("url"), F.lit(1)).alias("article"))
+    """Addresses on hosts with and without a rule, made of page numbers, at depths 0 and 1."""
+    d = table(spark, sf_dir, "documents").where("url is not null").select("doc_id", F.element_at(F.split("url", "/"), -1).alias("tail"))
+    site = F.element_at(F.array(*[F.lit(x) for x in ("https://www.tuoitre.vn/the-gioi/", "https://vnexpress.net/the-gioi/", "https://mof.gov.vn/", "https://other.example/")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    url = F.concat(site, F.lit("bai-"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 3 == 0, ".htm").when(F.col("doc_id") % 3 == 1, ".html").otherwise("/x"))
+    depth = (F.col("doc_id") % 5 > 0).cast("int")
+    return d.select("doc_id", url.alias("url"), T.is_article(url, depth).alias("article"))
 
 
 def furniture_lines(spark, sf_dir):
@@ -134,9 +139,10 @@ def chat_lines(spark, sf_dir):
 
 
 def json_salvage(spark, sf_dir):
-    """Replies with a JSON object inside prose, read back."""
+    """Replies that are a JSON object, have one in prose or in a fence, or break off, read back."""
     q = table(spark, sf_dir, "qa_items").select("item_id", "type", "hops").distinct()
-    reply = F.concat(F.lit("Here it is: "), F.to_json(F.struct("type", "hops")), F.lit(" Done."))
+    body, k = F.to_json(F.struct("type", "hops")), F.col("item_id") % 4
+    reply = F.when(k == 0, body).when(k == 1, F.concat(F.lit("Here it is: "), body, F.lit(" Done."))).when(k == 2, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(F.concat(F.lit("So: "), F.regexp_replace(body, "\\}$", "")))
     return q.select("item_id", F.get_json_object(T.json_block(reply), "$.type").alias("type"), F.get_json_object(T.json_block(reply), "$.hops").cast("int").alias("hops"))
 
 
@@ -211,7 +217,9 @@ SELECT doc_id, len(s) AS sentences, md5(array_to_string(s, '|')) AS md5 FROM s""
 SELECT doc_id, u AS unique_chars, round(CASE WHEN n > 0 THEN u / n ELSE 0 END, 6) AS density, round(CASE WHEN len(l) > 0 THEN len(list_distinct(l)) / len(l) ELSE 0 END, 6) AS unique_line_ratio FROM p""",
     "page_gates": "WITH p AS (SELECT doc_id, length(text) AS n, len(list_distinct(list_filter(string_split(text, ''), lambda x: x <> ''))) AS u FROM documents WHERE text IS NOT NULL) SELECT doc_id FROM p WHERE n >= 50 AND u >= 40 AND u >= 0.01 * n",
     "page_kinds": "SELECT doc_id, CASE WHEN length(text) < 200 THEN 'landing_page' " + " ".join("WHEN " + " OR ".join(f"contains(lower(coalesce(url, '')), '{p}')" for p in ps) + f" THEN '{k}'" for ps, k in ((T.DATASET_URLS, "dataset"), (T.LEGAL_URLS, "legal_document"), (T.ARTICLE_URLS, "article"))) + " WHEN " + " + ".join(f"contains(lower(text), '{g}')::INT" for g in T.GOVERNMENT) + " >= 3 THEN 'government_document' ELSE 'web_page' END AS kind FROM documents WHERE text IS NOT NULL",
-    "article_urls": "SELECT doc_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, true AS article FROM documents WHERE url IS NOT NULL",
+    "article_urls": """WITH d AS (SELECT doc_id, '/' || CASE WHEN doc_id % 4 < 2 THEN 'the-gioi/' ELSE '' END || 'bai-' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.htm' WHEN 1 THEN '.html' ELSE '/x' END AS p FROM documents WHERE url IS NOT NULL)
+SELECT doc_id, ['https://www.tuoitre.vn', 'https://vnexpress.net', 'https://mof.gov.vn', 'https://other.example'][doc_id % 4 + 1] || p AS url,
+  doc_id % 5 = 0 OR CASE doc_id % 4 WHEN 0 THEN regexp_matches(p, '/[a-z-]+/[a-z0-9-]+\\.htm$') WHEN 1 THEN regexp_matches(p, '/[a-z-]+/[a-z0-9-]+-[0-9]+\\.html') ELSE true END AS article FROM d""",
     "topic_filter": "SELECT doc_id FROM documents WHERE text IS NOT NULL AND regexp_matches(lower(concat_ws(' ', coalesce(title, ''), substring(text, 1, 2000))), 'harvest|mùa|railway|thuế')",
     "relation_types": "SELECT upper(regexp_replace(regexp_replace(predicate, '[^A-Za-z0-9_]', '_', 'g'), '^_+|_+$', '', 'g')) AS relation, count(*) AS n FROM triples GROUP BY 1",
     "entity_acronyms": rf"""SELECT DISTINCT node_id, name, CASE WHEN len(regexp_extract_all(lower(name), '[\pL\pN_]+')) >= 2 THEN array_to_string(list_transform(regexp_extract_all(lower(name), '[\pL\pN_]+'), lambda x: substring(x, 1, 1)), '') ELSE '' END AS acronym,
@@ -229,7 +237,7 @@ FROM triples t JOIN n a ON t.subject = a.node_id JOIN n b ON t.object = b.node_i
     "edge_ids": "SELECT pos, substring(sha256(coalesce(subject, '') || chr(31) || coalesce(object, '') || chr(31) || coalesce(description, '')), 1, 20) AS edge_id FROM triples",
     "content_hashes": "SELECT pos, sha256(content) AS content_hash FROM source_documents",
     "chat_lines": f"SELECT DISTINCT item_id, md5('### Question:' || chr(10) || regexp_replace(question, {_STRIP}) || chr(10) || chr(10) || '### Answer:' || chr(10) || regexp_replace(answer, {_STRIP})) AS md5 FROM qa_items WHERE question IS NOT NULL AND answer IS NOT NULL AND regexp_replace(answer, {_STRIP}) <> ''",
-    "json_salvage": "SELECT DISTINCT item_id, type, hops FROM qa_items",
+    "json_salvage": "SELECT DISTINCT item_id, CASE WHEN item_id % 4 < 3 THEN type END AS type, CASE WHEN item_id % 4 < 3 THEN hops END AS hops FROM qa_items",
     "quality_profiles": _QUALITY,
     "quality_filter": _QUALITY.replace("SELECT pos, round((least", "SELECT pos FROM (SELECT pos, round((least") + ") WHERE rejections = ''",
     "quality_report": f"SELECT reason, count(*) AS n FROM (SELECT unnest(list_filter(string_split(concat_ws(';', rejections, flags), ';'), lambda x: x <> '')) AS reason FROM ({_QUALITY})) GROUP BY reason",

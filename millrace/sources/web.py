@@ -64,9 +64,14 @@ def fetch(urls: DataFrame, get: Callable[[str], tuple[int, str]], allowed: Calla
     return urls.select("url").mapInPandas(run, "url string, status int, html string, error string")
 
 
+def page_gates(text: Column, least_chars: int = 50, least_unique: int = 100, least_density: float = 0.01) -> Column:
+    """Whether a page's text is long enough and has enough different characters, absolutely and for its length."""
+    return (F.length(text) >= least_chars) & (unique_chars(text) >= least_unique) & (unique_chars(text) >= least_density * F.length(text))
+
+
 def page_records(pages: DataFrame, least_chars: int = 50, least_unique: int = 100, least_density: float = 0.01) -> DataFrame:
     """Records of pages(url, html) that pass the gates: title, cleaned text, statistics, kind and hash."""
     t = pages.where("html is not null").select("url", html_to_text("html").alias("h")).select("url", "h.title", drop_furniture(F.col("h.text")).alias("text"))
     r = t.withColumn("flat", drop_boilerplate(F.col("text"))).withColumn("unique_chars", unique_chars(F.col("text")))
-    r = r.where((F.length("text") >= least_chars) & (F.col("unique_chars") >= least_unique) & (F.col("unique_chars") >= least_density * F.length("text")))
+    r = r.where(page_gates(F.col("text"), least_chars, least_unique, least_density))
     return r.select("url", "title", "text", F.parse_url("url", F.lit("HOST")).alias("source_domain"), F.length("text").alias("content_length_chars"), "unique_chars", unique_line_ratio(F.col("text")).alias("unique_line_ratio"), content_type(F.col("url"), F.col("text")).alias("inferred_type"), F.sha2("text", 256).alias("content_hash"))
