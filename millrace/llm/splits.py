@@ -64,7 +64,7 @@ def place(units: list[tuple], shares: dict[str, float]) -> dict:
         for _, size, u in by_label[label]:
             if u in out:
                 continue
-            s = max(shares, key=lambda s: (room[s] >= size, want[s][label], room[s], s))
+            s = max(shares, key=lambda s: (want[s][label], room[s], s))
             out[u] = s
             room[s] -= size
             for k, n in content[u].items():

@@ -33,3 +33,15 @@ def test_placing_is_deterministic_and_prefers_rare_labels():
     units = [("a", {"x": 5}), ("b", {"x": 5, "y": 1}), ("c", {"y": 1}), ("d", {"x": 2})]
     got = place(units, {"train": 0.5, "test": 0.5})
     assert got == place(list(units), {"train": 0.5, "test": 0.5}) and got["b"] != got["c"] and set(got) == {"a", "b", "c", "d"}
+
+
+def test_a_unit_goes_where_its_rarest_label_is_needed_most():
+    got = place([("big", {"x": 60}), ("r1", {"y": 2, "x": 1}), ("r2", {"y": 2}), ("s", {"x": 37})], {"train": 0.5, "test": 0.5})
+    assert got["r1"] != got["r2"] and got["big"] != got["s"]
+
+
+def test_a_third_of_all_rows_in_one_group_reaches_the_shares(spark):
+    rows = [(i, "hot" if i < 1000 else f"g{i // 2}", None, "ab"[i % 2], "", "", "") for i in range(3000)]
+    out = grouped_splits(spark.createDataFrame(rows, SCHEMA), "item_id", ["_group_id", "source"], "type", {"train": 0.8, "validation": 0.1, "test": 0.1}).toPandas()
+    share = out.split.value_counts(normalize=True)
+    assert out[out.item < 1000].split.unique().tolist() == ["train"] and abs(share["train"] - 0.8) < 0.02 and abs(share["test"] - 0.1) < 0.02
