@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +42,8 @@ _SPLIT = re.compile("([ \t\r\n\f\v]+)")
 _WORD = re.compile(r"[^\W\d_]+")
 _LOST = "\ufffd"
 _FINE = re.compile("^[\x20-\x7e\u00a0-\u017f\u01a0\u01a1\u01af\u01b0\u02c6-\u02dc\u0300-\u036f\u1ea0-\u1ef9\u2002-\u200d\u2010-\u2026\u2030\u2039\u203a\u20ac\u2122\u2190-\u22ff\ufeff]*$")
-_CACHE = 400_000
+#: Bytes of readings that a worker remembers, about; rows of a batch it hands on; pages it rebuilds at once.
+_CACHE, _ROWS, _PAGES = 64 << 20, 20_000, 256
 #: Log-probability of changing from one encoding to another between tokens.
 SWITCH, MISSING = -3.0, -30.0
 
@@ -62,6 +64,7 @@ class Channels:
     def __init__(self) -> None:
         self.tables = {c: _table(c) for c in SINGLE}
         self.known: dict[str, list[tuple[str, str, bool]]] = {}
+        self.held = 0
 
     def to_bytes(self, codec: str, token: str) -> list[int | None] | None:
         """The bytes of a token, None for a lost one; None if the encoding can't have made it."""
@@ -143,9 +146,11 @@ class Channels:
             text = "".join(TCVN3.get(c, c) for c in token)
             if all(c.isascii() or c in TCVN3 for c in token) and (any(c.isascii() and c.isalpha() for c in token) or sum(c in TCVN3 for c in token) > 1):
                 out.append(("tcvn3", text, False))
-        if len(self.known) > _CACHE:
+        if self.held > _CACHE:
             self.known.clear()
+            self.held = 0
         self.known[token] = out
+        self.held += 250 + len(token) + sum(150 + len(text) for _, text, _ in out)
         return out
 
 
@@ -170,9 +175,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     look = re.compile(LOOK)
     names = ["page", "i", "token", "channel", "text", "sure", "lost", "skeleton", "words", "own", "n"]
     kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int64())
+    packed = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=names)
     for batch in batches:
         rows, usual = [], Counter()
-        for page, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for page, text in ((p.as_py(), t.as_py()) for p, t in zip(batch.column(0), batch.column(1))):
             if text.isascii():
                 continue
             usual.update(_WORD.findall(text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)))
@@ -196,12 +202,15 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         mine.append((page, i, token, channel, read, sure, False, None, _WORD.findall(unicodedata.normalize("NFC", read).lower()), own, None))
             if worth:
                 rows += mine
+            while len(rows) >= _ROWS:
+                yield packed(rows[:_ROWS])
+                del rows[:_ROWS]
         small: Counter = Counter()
         for w, n in usual.items():
             if not w.isascii():
                 small[w.lower()] += n
         rows += [(None, None, w, None, None, None, None, None, None, None, n) for w, n in small.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(kinds)], names=names)
+        yield packed(rows)
 
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,23 +232,23 @@ def viterbi(tokens: list[dict], total: float) -> list[tuple[int, str, str | None
     tokens: place i, sure, raw (the token's own log-frequency), options {channel: (text, score)}.
     """
     states = ["", *sorted({c for t in tokens for c in t["options"]})]
-    best, back = {s: 0.0 if s == "" else SWITCH for s in states}, []
+    best, back = {s: 0.0 if s == "" else SWITCH for s in states}, []  # back: by token, the best state before and, as bits, the states that stay
     for t in tokens:
         emit = {s: t["options"][s][1] if s in t["options"] else MISSING for s in states}
         emit[""] = 2 * MISSING if t["sure"] else t["raw"]
         top = max(best, key=lambda s: best[s])
-        new, came = {}, {}
-        for s in states:
+        new, stays = {}, 0
+        for k, s in enumerate(states):
             stay = best[s] >= best[top] + SWITCH
-            came[s] = s if stay else top
+            stays |= stay << k
             new[s] = (best[s] if stay else best[top] + SWITCH) + emit[s]
-        back.append(came)
+        back.append((top, stays))
         best = new
     s = max(best, key=lambda k: best[k])
-    path = []
-    for t, came in zip(reversed(tokens), reversed(back)):
+    path, bit = [], {s: 1 << k for k, s in enumerate(states)}
+    for t, (top, stays) in zip(reversed(tokens), reversed(back)):
         path.append((t, s))
-        s = came[s]
+        s = s if stays & bit[s] else top
     out = []
     for t, s in reversed(path):
         if not t["sure"] and (s == "" or s not in t["options"]):
@@ -250,19 +259,28 @@ def viterbi(tokens: list[dict], total: float) -> list[tuple[int, str, str | None
 
 
 def _decode(total: float):
+    """Rows in order of page and place; only the tokens of one page are held at once, equal options once."""
+    kinds = (pa.int64(), pa.int32(), pa.string(), pa.string())
+    packed = lambda out: pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], names=["page", "i", "channel", "text"])
+
+    def token(i: int, rows: list[tuple], alike: dict) -> dict:
+        options: dict[str, tuple[str, float]] = {}
+        for channel, _, _, text, score in sorted(rows, key=lambda r: (r[0], -(r[4] or 0), r[3] or "")):
+            if text is not None and (channel not in options or options[channel][1] < score):
+                options[channel] = (text, score)
+        return {"i": i, "sure": any(r[1] for r in rows), "raw": rows[0][2], "options": alike.setdefault(tuple(options.items()), options)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for page, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens: dict[int, dict] = {}
-                for r in sorted(rows, key=lambda r: (r["i"], r["channel"], -(r["score"] or 0), r["text"] or "")):
-                    t = tokens.setdefault(r["i"], {"i": r["i"], "sure": False, "raw": r["raw"], "options": {}})
-                    t["sure"] = t["sure"] or r["sure"]
-                    if r["text"] is not None and (r["channel"] not in t["options"] or t["options"][r["channel"]][1] < r["score"]):
-                        t["options"][r["channel"]] = (r["text"], r["score"])
-                out += [(page, *x) for x in viterbi([tokens[i] for i in sorted(tokens)], total)]
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], names=["page", "i", "channel", "text"])
+        out: list[tuple] = []
+        flat = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        for page, rows in groupby(flat, key=lambda r: r[0]):
+            alike: dict = {}
+            tokens = [token(i, [r[2:] for r in same], alike) for i, same in groupby(rows, key=lambda r: r[1])]
+            out += [(page, *x) for x in viterbi(tokens, total)]
+            if len(out) >= _ROWS:
+                yield packed(out)
+                out = []
+        yield packed(out)
 
     return run
 
@@ -300,12 +318,12 @@ def damaged_tokens(pages: DataFrame, page: str, text: str) -> DataFrame:
     filled = filled.groupBy("token", "channel").agg(F.max_by("w", F.struct("n", "w")).alias("text"), F.max("n").alias("n")).select("token", "channel", "text", log(F.col("n"), 0.5).alias("score"))
     options = scored.union(filled)
     rows = found.select("page", "i", "token", "channel", "sure").distinct().join(raw, "token").join(options, ["token", "channel"], "left")
-    rows = rows.select("page", F.struct("i", "channel", "sure", "raw", "text", F.coalesce("score", F.lit(math.log(0.5 / (total + 1)))).alias("score")).alias("r")).groupBy("page").agg(F.collect_list("r").alias("r"))
+    rows = rows.select("page", "i", "channel", "sure", "raw", "text", F.coalesce("score", F.lit(math.log(0.5 / (total + 1)))).alias("score")).repartition("page").sortWithinPartitions("page", "i")
     return rows.mapInArrow(_decode(total), "page long, i int, channel string, text string")
 
 
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(k, _PAGES) for b in batches for k in range(0, b.num_rows, _PAGES)):
         out, open_ = [], []
         for text, fixes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             parts = _SPLIT.split(text)

@@ -1,7 +1,10 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
+from millrace.llm import garbled
 from millrace.llm.garbled import TCVN3, Channels, damaged_tokens, fits, restored_pages, viterbi
 
 SCHEMA = "doc_id bigint, text string, page string, i int, token string"
@@ -60,3 +63,31 @@ def test_rare_but_right_text_has_no_sure_damage(text):
 def test_a_word_that_occurs_once_fills_lost_bytes(spark):
     df = spark.createDataFrame(corpus(["Ông kể chuyện khuỷu tay.", "Ông kể chuyện khu���u tay."]), SCHEMA)
     assert {r.page: r.restored for r in restored_pages(df, "doc_id", "text").collect()} == {1001: "Ông kể chuyện khuỷu tay."}
+
+
+def test_workers_hold_few_rows_however_many_pages_are_damaged():
+    page = " ".join(misread(s, "cp1252") for s in SENTENCES)
+    schema = pa.schema([("page", pa.int64()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_pydict({"page": list(range(1500)), "text": [page] * 1500}, schema)
+    one = sum(len(b["page"].drop_null()) for b in garbled._candidates(iter([batch.slice(0, 1)])))
+    sizes = [len(b["page"].drop_null()) for b in garbled._candidates(iter([batch]))]
+    assert sum(sizes) == 1500 * one and max(sizes) <= 20_000
+
+    rows = pa.RecordBatch.from_pylist([{"page": 0, "i": i, "channel": c, "sure": True, "raw": -20.0, "text": f"{c}{i}", "score": s} for i in range(50) for c, s in (("a", -3.0), ("b", -5.0), ("c", -9.0))])
+    pages = (pa.RecordBatch.from_arrays([pa.array([n] * 150), *rows.columns[1:]], names=rows.schema.names) for n in range(2000))
+    tracemalloc.start()
+    got = 0
+    for b in garbled._decode(100.0)(pages):
+        assert set(b["channel"].to_pylist()) <= {"a"}
+        got += b.num_rows
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == 100_000 and most < 20e6
+
+
+def test_a_worker_forgets_readings_beyond_its_bytes(monkeypatch):
+    monkeypatch.setattr(garbled, "_CACHE", 100_000)
+    channels = Channels()
+    for i in range(2000):
+        assert ("cp1252", f"é{i}", True) in channels.read(f"Ã©{i}")
+    assert sum(len(t) + sum(len(x) for _, x, _ in r) for t, r in channels.known.items()) < 110_000 and len(channels.known) < 400
