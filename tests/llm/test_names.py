@@ -1,10 +1,11 @@
 import random
+from collections import defaultdict
 
 from hypothesis import given as given_
 from hypothesis import settings
 from hypothesis import strategies as st
 
-from millrace.llm.names import compare, form, lcs, lcs_ratio, name_variants
+from millrace.llm.names import CHANCE, FEW, LEARNED, RIVAL, STANDS, UNIT, WIDE, compare, form, lcs, lcs_ratio, name_variants, short_names
 
 SCHEMA = "node_id string, name string, label string, mentions array<string>, node string, root string, form string"
 
@@ -97,3 +98,44 @@ def test_a_block_of_over_64_forms_loses_no_pair(spark):
     rows = [("a", "Wetherby Gefarbohul Tezomandir", "PER", None), ("b", "Wetherby Q. Gefarbohul Tezomandr", "PER", None)]
     found = lambda rs: [sorted(n for n in g if n in "ab") for g in groups(spark, rs) if set(g) & set("ab")]
     assert found(rows + fill) == found(rows) == [["a", "b"]]
+
+
+def learned(forms):
+    """Short names of two-word forms by every pair of tokens that share a rest."""
+    beside, rests = defaultdict(set), defaultdict(set)
+    for x, y in {tuple(sorted(f.split(" "))) for f in forms}:
+        for rest, token in ((x, y), (y, x)):
+            beside[rest].add(token)
+            rests[token].add(rest)
+    w = {r: UNIT if len(t) <= WIDE else UNIT * (WIDE - 1) // (len(t) - 1) for r, t in beside.items()}
+    places, found = sum(map(len, beside.values())), {}
+    for s, mine in rests.items():
+        whole, others = sum(w[r] for r in mine), sum(w[r] * (len(beside[r]) - 1) for r in mine)
+        for f in set().union(*(beside[r] for r in mine)):
+            both = mine & rests[f]
+            n = sum(w[r] for r in both)
+            if (len(s), s) < (len(f), f) and (len(s) <= FEW or 2 * lcs(s, f) >= len(s)) and n >= LEARNED * UNIT and n >= STANDS * whole:
+                if sum(w[r] == UNIT for r in both) >= LEARNED or n >= CHANCE * others * len(rests[f]) / places:
+                    found[s, f] = n
+    top = {}
+    for (s, f), n in found.items():
+        top[s] = max(top.get(s, (0, "")), (n, f))
+    sums = defaultdict(lambda: defaultdict(int))
+    for (s, f), n in found.items():
+        f = top[f][1] if f in top else f
+        sums[s][f] += n if s != f else 0
+    kept = {s: [f for f, n in fs.items() if n and n >= RIVAL * max(fs.values())] for s, fs in sums.items()}
+    return sorted((s, f, len(fs) > 1) for s, fs in kept.items() for f in fs)
+
+
+def test_short_names_beside_remainders_of_many_tokens(spark):
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(n))
+    families = [word(4) + "son" for _ in range(60)]
+    wide = [f"{word(3)} {f}" for f in families for _ in range(30)] + [f"{g} {f}" for f in families[:8] for g in ("robert", "bob")]
+    dense = [f"{g} {f}" for g in [word(2 + i % 2) for i in range(30)] for f in families[:30]]
+    mixed = wide + [f"{g} {r.choice(families)}" for g in [word(2) for _ in range(40)] for _ in range(r.randint(1, 12))] + [f"{g} {word(3)}" for g in families[:5] for _ in range(100)]
+    for forms in (wide, dense, mixed):
+        got = sorted(map(tuple, short_names(spark.createDataFrame([("P", " ".join(sorted(f.split(" ")))) for f in set(forms)], "kind string, tokens string")).collect()))
+        assert got == learned(forms)
+        assert (("bob", "robert", False) in got) == (forms is not dense) and (forms is not dense or not got)
