@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import char_ngrams, word_shingles
+from millrace.operators import grams
 from millrace.operators.components import connected_components
 from millrace.session import cut
 
@@ -250,13 +251,24 @@ def simhash_dedup(docs: DataFrame, key: str, text: str, distance: int = 3) -> Da
 
 
 def ngram_dedup(docs: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 5) -> DataFrame:
-    """(id): texts dropped because an earlier kept one shares enough character n-grams."""
-    sets = cut(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.array_sort(F.array_distinct(F.transform(char_ngrams(F.col(text), n), lambda x: F.xxhash64(x)))).alias("s")))
-    keyed = sets.select("id", F.xxhash64("s").alias("h"))
-    rep = keyed.groupBy("h").agg(F.min("id").alias("rep"))
-    gone = greedy_keep_first(set_pairs(sets, "id", "s", threshold)).select(F.col("id").alias("r"))
-    all_ = keyed.join(rep, "h")
-    return all_.where("id <> rep").select("id").union(all_.where("id = rep").join(gone, F.col("id") == F.col("r"), "left_semi").select("id"))
+    """(id): texts dropped because an earlier kept one shares enough character n-grams.
+
+    Copies of a text go with its first row. Below the least threshold of ngram_pairs, or with a key that
+    isn't a whole number, a row is made of every n-gram.
+    """
+    kind = dict(docs.dtypes)[key]
+    if threshold < grams.LEAST or kind not in ("tinyint", "smallint", "int", "bigint"):
+        sets = cut(docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.array_sort(F.array_distinct(F.transform(char_ngrams(F.col(text), n), lambda x: F.xxhash64(x)))).alias("s")))
+        keyed = sets.select("id", F.xxhash64("s").alias("h"))
+        rep = keyed.groupBy("h").agg(F.min("id").alias("rep"))
+        gone = greedy_keep_first(set_pairs(sets, "id", "s", threshold)).select(F.col("id").alias("r"))
+        all_ = keyed.join(rep, "h")
+        return all_.where("id <> rep").select("id").union(all_.where("id = rep").join(gone, F.col("id") == F.col("r"), "left_semi").select("id"))
+    keyed = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(text).alias("h"))
+    rep = keyed.groupBy("h").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1")
+    copies = keyed.join(rep, "h").where("id <> rep").select("id")
+    gone = greedy_keep_first(grams.ngram_pairs(docs, key, text, threshold, n).select("a", "b"))
+    return copies.union(gone.select(F.col("id").cast(kind).alias("id")))
 
 
 def _blocks(threshold: float):
